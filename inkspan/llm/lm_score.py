@@ -1,0 +1,153 @@
+"""Cross-entropy difference (Moore and Lewis 2010): how much more a document is like the target than like the background.
+
+Both models are 4-gram models over one vocabulary of 64 byte classes (folded
+letters, digits, a few punctuation marks, bytes of non-ASCII characters), so
+every byte of a text is a token and no token is unknown. Counts are exact and
+cover all documents: the target is those labelled quality 1, the background
+all. They are matched: background counts are scaled to the target's number of
+tokens, so that smoothing weighs alike. Probabilities are smoothed by a
+Dirichlet prior of the next lower order, down to uniform.
+
+score = (loss under target - loss under background) per token, in bits; the
+lower, the more target-like. Since the background covers all documents, each
+4-gram to be scored has been counted: the model is a table of observed 4-grams,
+2^24 at most at any scale.
+
+Defined cases: an empty or null text has 0 tokens and null losses and score;
+without target tokens all scores are null; a document is in the target if any
+of its labels has quality 1; repeated rows count and are scored each; labels of
+unknown documents count nothing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from inkspan.llm import kernel as K
+from inkspan.llm.shared import BROADCAST_BYTES
+
+ORDER, CLASS_BITS, PRIOR = 4, 6, 8.0
+SIZE = 1 << (ORDER * CLASS_BITS)
+
+
+def class_table() -> np.ndarray:
+    """Byte to class: 0 white space, 1-26 letters, 27 digits, 28 full stop, 29 comma, 30 other ASCII, 31 lead bytes, 32-63 following bytes."""
+    t = np.full(256, 30, np.uint8)
+    t[[9, 10, 11, 12, 13, 32]] = 0
+    t[48:58] = 27
+    for c in range(26):
+        t[97 + c] = t[65 + c] = 1 + c
+    t[46], t[44] = 28, 29
+    t[128:192] = 32 + (np.arange(128, 192) & 31)
+    t[192:] = 31
+    return t
+
+
+class Grams:
+    def __init__(self) -> None:
+        self.table = class_table().astype(np.uint32)
+
+    def __call__(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """The 4-gram that ends at each byte; class 0 stands before a document's start."""
+        c = self.table[buf]
+        code = c.copy()
+        for k in range(1, ORDER):
+            back = np.zeros_like(c)
+            back[k:] = c[:-k]
+            for j in range(k):
+                i = offs[:-1] + j
+                back[i[i < offs[1:]]] = 0
+            code |= back << np.uint32(CLASS_BITS * k)
+        return code
+
+
+def gram_counts(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """(gram, n, n_target) over all documents; target has the distinct doc_id of the target documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, all_, of_target = Grams(), np.zeros(SIZE, np.uint32), np.zeros(SIZE, np.uint32)
+        any_ = False
+        for b in batches:
+            flags = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for i, j, buf, offs in K.chunks(b.column(0)):
+                if not buf.size:
+                    continue
+                any_, code = True, grams(buf, offs)
+                parts = [(all_, code)]
+                if flags[i:j].any():
+                    parts.append((of_target, code[np.repeat(flags[i:j], np.diff(offs))]))
+                for total, x in parts:
+                    x = np.sort(x)
+                    head = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if x.size else np.zeros(0, np.int64)
+                    total[x[head]] += np.diff(np.append(head, x.size)).astype(np.uint32)
+        if any_:
+            seen = np.flatnonzero(all_)
+            for lo in range(0, seen.size, 1 << 16):
+                s = seen[lo : lo + (1 << 16)]
+                yield pa.record_batch([pa.array(s.astype(np.int32)), pa.array(all_[s].astype(np.int64)), pa.array(of_target[s].astype(np.int64))], names=["gram", "n", "n_target"])
+
+    small = target.count() * 8 <= BROADCAST_BYTES
+    marked = target.select(F.col("doc_id").alias("__id"), F.lit(True).alias("__target"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(marked) if small else marked, F.col("doc_id") == F.col("__id"), "left").select("text", F.coalesce("__target", F.lit(False)).alias("t"))
+    return texts.mapInArrow(count, "gram int, n long, n_target long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+
+
+def losses(code: np.ndarray, n: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+    """Bits for the last token of each counted 4-gram (sorted codes, counts)."""
+    p = np.full(code.size, 1 / (1 << CLASS_BITS))
+    for order in range(1, ORDER + 1):
+        part = code & ((1 << (CLASS_BITS * order)) - 1)
+        _, of = np.unique(part, return_inverse=True)
+        together = np.bincount(of, n)[of]
+        _, of = np.unique(part >> CLASS_BITS, return_inverse=True)
+        context = np.bincount(of, n)[of]
+        p = (together + prior * p) / (context + prior)
+    return -np.log2(p)
+
+
+def fit(docs: DataFrame, labels: DataFrame, prior: float = PRIOR) -> dict | None:
+    """Codes of all observed 4-grams and their losses under both models; None without target tokens."""
+    target = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    t = gram_counts(docs, target).toArrow()
+    code, n, n_target = (t.column(c).to_numpy().astype(np.int64) for c in ("gram", "n", "n_target"))
+    order = np.argsort(code)
+    code, n, n_target = code[order], n[order], n_target[order]
+    if not n_target.sum():
+        return None
+    background = n * (n_target.sum() / n.sum())
+    return {"code": code, "target": losses(code, n_target.astype(float), prior).astype(np.float32), "background": losses(code, background, prior).astype(np.float32)}
+
+
+def score(docs: DataFrame, labels: DataFrame, prior: float = PRIOR) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score of every row; losses in bits per token."""
+    shipped = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, prior))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, model, tables = Grams(), shipped.value, []
+        if model:
+            for name in ("target", "background"):
+                tables.append(np.zeros(SIZE, np.float32))
+                tables[-1][model["code"]] = model[name]
+        for b in batches:
+            for i, j, buf, offs in K.chunks(b.column(1)):
+                size = np.diff(offs)
+                means = [np.full(j - i, np.nan), np.full(j - i, np.nan)]
+                some = np.flatnonzero(size)
+                if some.size and model:
+                    code = grams(buf, offs)
+                    for mean, table in zip(means, tables):
+                        mean[some] = np.add.reduceat(table[code], offs[some], dtype=np.float64) / size[some]
+                t, g = means
+                yield pa.record_batch(
+                    [b.column(0).slice(i, j - i), pa.array(size), pa.array(t, from_pandas=True), pa.array(g, from_pandas=True), pa.array(t - g, from_pandas=True)],
+                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
+                )
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkspan.llm import near_dedup
+from inkspan.llm import decontam, langid, lm_score, near_dedup
 from inkspan.llm.shared import table
 
 
+def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the best place."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document against the documents of good quality."""
+    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id of every document that near-dedup keeps."""
     return near_dedup.survivors(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_near_dedup": op8_near_dedup}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op7_lm_score, op8_near_dedup)}
 ORACLE: dict[str, str] = {}

@@ -68,3 +68,18 @@ def mix(docs: DataFrame, seed: int = SEED, copy_column: str | None = None, **opt
     if copy_column:
         out = out.withColumn(copy_column, F.col("__copy"))
     return out.select(*dict.fromkeys(docs.columns + ([copy_column] if copy_column else [])))
+
+
+def oracle_sql(seed: int = SEED, max_epochs: float = MAX_EPOCHS) -> str:
+    """mix() in DuckDB with weights of the root of the size and a budget of the corpus's size."""
+    return f"""
+    WITH s AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS size FROM documents GROUP BY source),
+    w AS (SELECT *, sqrt(size) AS weight, size * {max_epochs} AS cap, sum(size) OVER () AS budget FROM s),
+    l AS (SELECT *, cap / weight AS ratio FROM w WHERE size > 0),
+    r AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY ratio, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS clamped,
+        sum(weight) OVER (ORDER BY ratio, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM l),
+    v AS (SELECT arg_min((budget - clamped) / rest, ratio) AS level FROM r WHERE (budget - clamped) / rest <= ratio),
+    a AS (SELECT source, greatest(least(cap, coalesce(level * weight, cap)), 0) / size AS r FROM l, v),
+    d AS (SELECT d.*, floor(a.r)::INTEGER + CASE WHEN ('0x' || md5(coalesce(d.doc_id::VARCHAR, md5(coalesce(d.text, ''))) || ':{seed}')[1:8])::BIGINT / 4294967296.0::DOUBLE < a.r - floor(a.r) THEN 1 ELSE 0 END AS copies
+        FROM documents d JOIN a ON d.source IS NOT DISTINCT FROM a.source)
+    SELECT doc_id, text, lang, source, n_chars, unnest(range(1, copies + 1))::INTEGER AS copy FROM d"""

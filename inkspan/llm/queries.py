@@ -1,11 +1,12 @@
-"""One query for each operator, over its whole table."""
+"""One query for each operator, over its whole table, and the SQL that DuckDB answers alike where SQL can express it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from inkspan.llm import decontam, langid, lm_score, near_dedup
-from inkspan.llm.shared import table
+from inkspan.llm import chat, decontam, langid, lm_score, mixing, near_dedup
+from inkspan.llm.shared import fresh_path, table
 
 
 def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,11 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed corpus: every document as often as its source's repetitions say, with the copy's number."""
+    return mixing.mix(table(spark, sf_dir, "documents"), copy_column="copy")
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document against the documents of good quality."""
     return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -28,5 +34,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.survivors(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op7_lm_score, op8_near_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op7_lm_score, op8_near_dedup)}
+ORACLE: dict[str, str] = {
+    "op3_mixing": mixing.oracle_sql(),
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import chat, decontam, langid, lm_score, mixing, near_dedup
+from inkspan.llm import chat, decontam, exact_dedup, langid, lm_score, mixing, near_dedup
 from inkspan.llm.shared import fresh_path, table
 
 
@@ -24,6 +24,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), copy_column="copy")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest index after all documents were absorbed: the least doc_id of each text."""
+    index = exact_dedup.DigestIndex(spark, fresh_path(spark, "digests"))
+    index.absorb(table(spark, sf_dir, "documents"))
+    return index.table().select("doc_id", F.lower(F.hex("digest")).alias("digest"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document against the documents of good quality."""
     return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -34,7 +41,8 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.survivors(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op7_lm_score, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op7_lm_score, op8_near_dedup)}
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
+    "op4_exact_dedup": "SELECT min(doc_id) AS doc_id, sha256(coalesce(text, '')) AS digest FROM documents GROUP BY sha256(coalesce(text, ''))",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import chat, decontam, exact_dedup, langid, lm_score, mixing, near_dedup
+from inkspan.llm import chat, decontam, exact_dedup, langid, lm_score, mixing, near_dedup, warc
 from inkspan.llm.shared import fresh_path, table
 
 
@@ -31,6 +31,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.table().select("doc_id", F.lower(F.hex("digest")).alias("digest"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the archives written from all pages, without the files' places."""
+    manifest = warc.write_archives(warc.records(table(spark, sf_dir, "pages")), warc.archive_folder(spark))
+    return manifest.select("page_id", "warc_type", "target_uri", "payload_digest", "record_id", "refers_to", "content_length")
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document against the documents of good quality."""
     return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -41,8 +47,16 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.survivors(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op7_lm_score, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op5_warc, op7_lm_score, op8_near_dedup)}
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
     "op4_exact_dedup": "SELECT min(doc_id) AS doc_id, sha256(coalesce(text, '')) AS digest FROM documents GROUP BY sha256(coalesce(text, ''))",
+    "op5_warc": """
+        WITH r AS (SELECT DISTINCT page_id, replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS uri, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS n FROM pages),
+        k AS (SELECT *, md5(coalesce(page_id::VARCHAR, '') || '|' || uri || '|' || digest) AS key FROM r),
+        o AS (SELECT *, first_value(key) OVER (PARTITION BY digest ORDER BY page_id NULLS LAST, uri, key) AS original FROM k),
+        u AS (SELECT *, '<urn:uuid:' || key[1:8] || '-' || key[9:12] || '-' || key[13:16] || '-' || key[17:20] || '-' || key[21:32] || '>' AS id,
+            '<urn:uuid:' || original[1:8] || '-' || original[9:12] || '-' || original[13:16] || '-' || original[17:20] || '-' || original[21:32] || '>' AS oid FROM o)
+        SELECT page_id, CASE WHEN key = original THEN 'response' ELSE 'revisit' END AS warc_type, uri AS target_uri, 'sha256:' || digest AS payload_digest, id AS record_id,
+            CASE WHEN key <> original THEN oid END AS refers_to, CASE WHEN key = original THEN 77 + length(n::VARCHAR) + n ELSE 59 END AS content_length FROM u""",
 }

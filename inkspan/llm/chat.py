@@ -49,3 +49,12 @@ def render(whole: DataFrame) -> DataFrame:
 
 def format_chats(rows: DataFrame) -> DataFrame:
     return render(maximal(conversations(rows)))
+
+
+ORACLE = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT conv_id, string_agg(md5(role) || md5(text), '') OVER w AS prefix, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+kept AS (SELECT min(conv_id) AS conv_id FROM p WHERE k = n AND prefix NOT IN (SELECT prefix FROM p WHERE k < n) GROUP BY prefix)
+SELECT conv_id, count(*)::INTEGER AS n_turns, string_agg('<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS rendered
+FROM t JOIN kept USING (conv_id) GROUP BY conv_id"""

@@ -37,6 +37,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.select("page_id", "warc_type", "target_uri", "payload_digest", "record_id", "refers_to", "content_length")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document against the documents of good quality."""
     return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -47,7 +52,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.survivors(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op5_warc, op7_lm_score, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op5_warc, op6_chat, op7_lm_score, op8_near_dedup)}
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
     "op4_exact_dedup": "SELECT min(doc_id) AS doc_id, sha256(coalesce(text, '')) AS digest FROM documents GROUP BY sha256(coalesce(text, ''))",
@@ -59,4 +64,5 @@ ORACLE: dict[str, str] = {
             '<urn:uuid:' || original[1:8] || '-' || original[9:12] || '-' || original[13:16] || '-' || original[17:20] || '-' || original[21:32] || '>' AS oid FROM o)
         SELECT page_id, CASE WHEN key = original THEN 'response' ELSE 'revisit' END AS warc_type, uri AS target_uri, 'sha256:' || digest AS payload_digest, id AS record_id,
             CASE WHEN key <> original THEN oid END AS refers_to, CASE WHEN key = original THEN 77 + length(n::VARCHAR) + n ELSE 59 END AS content_length FROM u""",
+    "op6_chat": chat.ORACLE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import chat, decontam, exact_dedup, langid, lm_score, mixing, near_dedup, url_filter, warc
+from inkspan.llm import chat, decontam, exact_dedup, langid, lm_score, mixing, near_dedup, shards, url_filter, warc
 from inkspan.llm.shared import fresh_path, table
 
 
@@ -57,7 +57,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op5_warc, op6_chat, op7_lm_score, op8_near_dedup, op9_url_filter)}
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard."""
+    return shards.place(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op5_warc, op6_chat, op7_lm_score, op8_near_dedup, op9_url_filter, op10_sharding)}
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
     "op4_exact_dedup": "SELECT min(doc_id) AS doc_id, sha256(coalesce(text, '')) AS digest FROM documents GROUP BY sha256(coalesce(text, ''))",
@@ -71,4 +76,5 @@ ORACLE: dict[str, str] = {
             CASE WHEN key <> original THEN oid END AS refers_to, CASE WHEN key = original THEN 77 + length(n::VARCHAR) + n ELSE 59 END AS content_length FROM u""",
     "op6_chat": chat.ORACLE,
     "op9_url_filter": url_filter.oracle_sql(),
+    "op10_sharding": shards.oracle_sql(),
 }

@@ -56,4 +56,13 @@ def place(docs: DataFrame, shards: list[str] | int = SHARDS, size: int = SIZE, c
     owner = fill(names(shards) if isinstance(shards, int) else shards, size)
     lookup = docs.sparkSession.createDataFrame(pd.DataFrame({"__slot": np.arange(size, dtype=np.int64), "__shard": owner}))
     joined = docs.withColumn("__at", slot(size)).join(F.broadcast(lookup), F.col("__at") == F.col("__slot"))
-    return joined.select(*[c for c in docs.columns if c != column], F.col("__shard").alias(column))
+    return joined.select(*[c for c in docs.columns if c != column], F.col("__shard").cast("int").alias(column))
+
+
+def oracle_sql(shards: int = SHARDS, size: int = SIZE) -> str:
+    """place() in DuckDB; the lookup table is a string with a character for each slot."""
+    lookup = "".join(chr(48 + i) for i in fill(names(shards), size)).replace("'", "''")
+    return f"""
+    WITH t AS (SELECT '{lookup}' AS lookup),
+    d AS (SELECT *, ('0x' || md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))))[1:15])::BIGINT % {size} AS slot FROM documents)
+    SELECT doc_id, text, lang, source, n_chars, (ascii(substr(lookup, slot + 1, 1)) - 48)::INTEGER AS shard FROM d, t"""

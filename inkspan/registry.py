@@ -25,8 +25,12 @@ def query(sql: str | None = None, name: str | None = None) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import inkspan.plans  # noqa: F401  registers
+
     return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    import inkspan.plans  # noqa: F401  registers
+
     return _ORACLE

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
+from inkspan.llm.shared import small_batches
 
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
@@ -275,6 +276,7 @@ def slices(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, target: float = TARGET_RECALL) -> DataFrame:
     """(doc_id, item_id, distance, start_word, item_words) of every document and item found in it, at its best place."""
+    small_batches(docs.sparkSession)
     schema = "doc_id long, item_id long, distance int, start_word long, item_words int"
     out = None
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -312,6 +314,7 @@ def _holds(shipped):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, target: float = TARGET_RECALL) -> DataFrame:
     """The rows of docs that hold no item, with all their columns; one pass, no shuffle."""
+    small_batches(docs.sparkSession)
     out = docs
     for items in slices(benchmark):
         holds = _holds(docs.sparkSession.sparkContext.broadcast(build_index(items, share, target)))

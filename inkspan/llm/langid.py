@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
+from inkspan.llm.shared import small_batches
 
 N, TOP_GRAMS, TRAIN_ROWS, SLOT_BITS, HASHES, MIN_SHARE = 4, 4000, 4000, 17, 2, 0.2
 U = np.uint64
@@ -153,6 +154,7 @@ def _predict(model, min_share: float):
 
 def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS, min_share: float = MIN_SHARE) -> DataFrame:
     """doc_id, predicted, share, n_grams of every row: one pass after the fit, no shuffle."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, train_rows)))
     p = _predict(model, min_share)(F.col("text").cast("string"))
     return docs.select("doc_id", p.alias("p")).select("doc_id", "p.predicted", "p.share", "p.n_grams")
@@ -160,5 +162,6 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS, min_share: float = M
 
 def identify_filter(docs: DataFrame, train_rows: int = TRAIN_ROWS, min_share: float = MIN_SHARE) -> DataFrame:
     """The rows of docs, with all their columns, whose language can be told."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, train_rows)))
     return docs.where(_predict(model, min_share)(F.col("text").cast("string"))["predicted"] != "und")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
-from inkspan.llm.shared import BROADCAST_BYTES
+from inkspan.llm.shared import BROADCAST_BYTES, small_batches
 
 ORDER, CLASS_BITS, PRIOR = 4, 6, 8.0
 SIZE = 1 << (ORDER * CLASS_BITS)
@@ -126,6 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float = PRIOR) -> dict | None
 
 def score(docs: DataFrame, labels: DataFrame, prior: float = PRIOR) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of every row; losses in bits per token."""
+    small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, prior))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

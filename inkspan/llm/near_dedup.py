@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
 from inkspan.llm.components import components
-from inkspan.llm.shared import BROADCAST_BYTES, written
+from inkspan.llm.shared import BROADCAST_BYTES, small_batches, written
 
 SHINGLE, THRESHOLD = 2, 0.6
 BANDS, ROWS = 16, 3
@@ -306,6 +306,7 @@ def labelled(docs: DataFrame, candidates: DataFrame, n: int, df: np.ndarray, shi
 
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, keep_id) of each document that goes because keep_id, the least of its group, stays."""
+    small_batches(docs.sparkSession)
     n, df = document_frequencies(docs, shingle)
     sigs = written(signatures(docs, n, df, shingle, bands, rows), "near-signatures")
     exact = sigs.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))

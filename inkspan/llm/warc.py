@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm.shared import BROADCAST_BYTES, fresh_path, written
+from inkspan.llm.shared import BROADCAST_BYTES, fresh_path, small_batches, written
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -88,6 +88,7 @@ def http_head(length: int) -> bytes:
 def write_archives(found: DataFrame, folder: str, date: str = DATE) -> DataFrame:
     """Writes found, deduplicated, as one archive a task, a gzip member a record; the manifest of what was written."""
     spark = found.sparkSession
+    small_batches(spark)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, context, out, path, offset = fs.FileSystem.from_uri(folder), TaskContext.get(), None, "", 0

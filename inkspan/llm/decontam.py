@@ -16,7 +16,8 @@ of n - e to n + e words, is within e = floor(MAX_EDITS * n) word edits of it.
 
 The benchmark is handled in slices whose index stays within SLICE_BYTES; each
 slice costs one scan. Defined cases: null or wordless texts and items match
-nothing; an item that occurs several times is reported under each item_id; rows
+nothing; an item that occurs several times is reported under each item_id, a
+null one as null; rows
 with equal doc_id count as one document; null doc_id rows are reported under
 null, and removed by decontaminate if they match; an empty benchmark removes
 nothing; extra columns pass through.
@@ -39,11 +40,15 @@ TARGET_RECALL = 0.98
 SLICE_BYTES = 8 << 20
 #: Steps of a walk; about half as many words are read.
 MAX_STEPS = 48
+#: Stands for a null item_id within an index.
+NO_ID = -(1 << 63)
 U = np.uint64
 STEP = U(0x9E3779B97F4A7C15)
 
 
 def edits_allowed(n: int, share: float = MAX_EDITS) -> int:
+    if not 0 <= share <= 0.25:
+        raise ValueError("the screen needs a share of 0.25 at most")
     return int(np.floor(share * n + 1e-9))
 
 
@@ -271,7 +276,7 @@ def slices(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // SLICE_BYTES))
     for k in range(n):
-        yield [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
+        yield [(NO_ID if r[0] is None else r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, target: float = TARGET_RECALL) -> DataFrame:
@@ -290,7 +295,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS
                     finder.screen(i, buf, offs)
                 if rows := finder.found():
                     doc, item, d, s, n = zip(*rows)
-                    yield pa.record_batch([b.column(0).take(pa.array(doc)), pa.array(item, pa.int64()), pa.array(d, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int32())], names=["doc_id", "item_id", "distance", "start_word", "item_words"])
+                    yield pa.record_batch([b.column(0).take(pa.array(doc)), pa.array([None if x == NO_ID else x for x in item], pa.int64()), pa.array(d, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int32())], names=["doc_id", "item_id", "distance", "start_word", "item_words"])
 
         part = texts.mapInArrow(find, schema)
         out = part if out is None else out.unionByName(part)

@@ -11,8 +11,8 @@ rows at most, those least by a hash of doc_id; each language enters with its
 TOP_GRAMS most frequent n-grams, so that a large language has no advantage.
 Identification reads the whole text of all documents.
 
-Defined cases: a text that is null, or without letters, has 0 n-grams, share
-null and language "und", as has one whose best share is under MIN_SHARE; ties
+Defined cases: a text that is null, without letters, or too short for an n-gram
+has 0 n-grams, share null and language "und", as has one whose best share is under MIN_SHARE; ties
 go to the language that is first in alphabetical order; without any labelled
 row all are "und"; repeated rows are each identified; a column that is named
 like a result (predicted) does not clash, results are selected by name; extra

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.shared import BROADCAST_BYTES, written
+from inkspan.llm.shared import BROADCAST_BYTES, unused, written
 
 MAX_EPOCHS, EXPONENT, SEED = 4.0, 0.5, 17
 
@@ -60,14 +60,15 @@ def draw(seed: int = SEED) -> F.Column:
 
 def mix(docs: DataFrame, seed: int = SEED, copy_column: str | None = None, **options) -> DataFrame:
     """The rows of docs, each as often as its source's repetitions say; the copy's number from 1 in copy_column, if named."""
-    plan = written(allotments(docs, **options).select(F.col("source").alias("__source"), F.col("repetitions").alias("__r")), "mix-plan", 1)
+    s, r, copies, copy = unused(docs, "__source", "__r", "__copies", "__copy")
+    plan = written(allotments(docs, **options).select(F.col("source").alias(s), F.col("repetitions").alias(r)), "mix-plan", 1)
     small = plan.count() * 64 <= BROADCAST_BYTES
-    joined = docs.join(F.broadcast(plan) if small else plan, F.col("source").cast("string").eqNullSafe(F.col("__source")))
-    copies = F.floor("__r") + F.when(draw(seed) < F.col("__r") - F.floor("__r"), 1).otherwise(0)
-    out = joined.withColumn("__copies", copies.cast("int")).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    joined = docs.join(F.broadcast(plan) if small else plan, F.col("source").cast("string").eqNullSafe(F.col(s)))
+    whole = F.floor(r) + F.when(draw(seed) < F.col(r) - F.floor(r), 1).otherwise(0)
+    out = joined.withColumn(copies, whole.cast("int")).where(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     if copy_column:
-        out = out.withColumn(copy_column, F.col("__copy"))
-    return out.select(*dict.fromkeys(docs.columns + ([copy_column] if copy_column else [])))
+        out = out.withColumn(copy_column, F.col(copy))
+    return out.select(*[f"`{c}`" for c in dict.fromkeys(docs.columns + ([copy_column] if copy_column else []))])
 
 
 def oracle_sql(seed: int = SEED, max_epochs: float = MAX_EPOCHS) -> str:

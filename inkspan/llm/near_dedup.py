@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
 from inkspan.llm.components import components
-from inkspan.llm.shared import BROADCAST_BYTES, small_batches, written
+from inkspan.llm.shared import BROADCAST_BYTES, small_batches, unused, written
 
 SHINGLE, THRESHOLD = 2, 0.6
 BANDS, ROWS = 16, 3
@@ -320,15 +320,15 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SH
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that stay, with all their columns: one document of each group."""
-    gone = near_groups(docs, **options).select(F.col("doc_id").alias("__gone"))
-    gone = written(gone, "near-gone")
+    g, n, t = unused(docs, "__gone", "__n", "__twice")
+    gone = written(near_groups(docs, **options).select(F.col("doc_id").alias(g)), "near-gone")
     small = gone.count() * 8 <= BROADCAST_BYTES
-    kept = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-    twice = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__twice"))
+    kept = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id").cast("long") == F.col(g), "left_anti")
+    twice = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(F.col("doc_id").alias(t))
     twice = written(twice, "near-twice")
     if twice.isEmpty():
         return kept
-    same = F.col("doc_id") == F.col("__twice")
+    same = F.col("doc_id") == F.col(t)
     return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkspan.llm.shared import unused
+
 SIZE, SHARDS = 65537, 64
 
 
@@ -54,9 +56,10 @@ def slot(size: int = SIZE) -> F.Column:
 def place(docs: DataFrame, shards: list[str] | int = SHARDS, size: int = SIZE, column: str = "shard") -> DataFrame:
     """The rows of docs with the index of their shard."""
     owner = fill(names(shards) if isinstance(shards, int) else shards, size)
-    lookup = docs.sparkSession.createDataFrame(pd.DataFrame({"__slot": np.arange(size, dtype=np.int64), "__shard": owner}))
-    joined = docs.withColumn("__at", slot(size)).join(F.broadcast(lookup), F.col("__at") == F.col("__slot"))
-    return joined.select(*[c for c in docs.columns if c != column], F.col("__shard").cast("int").alias(column))
+    at, number, shard = unused(docs, "__at", "__slot", "__shard")
+    lookup = docs.sparkSession.createDataFrame(pd.DataFrame({number: np.arange(size, dtype=np.int64), shard: owner}))
+    joined = docs.withColumn(at, slot(size)).join(F.broadcast(lookup), F.col(at) == F.col(number))
+    return joined.select(*[f"`{c}`" for c in docs.columns if c.lower() != column.lower()], F.col(shard).cast("int").alias(column))
 
 
 def oracle_sql(shards: int = SHARDS, size: int = SIZE) -> str:

@@ -1,0 +1,67 @@
+import math
+from collections import Counter
+
+import pytest
+
+from inkspan.llm import lm_score as M
+from tests.llm.conftest import CLASHING, prose
+
+
+def brute(docs, good):
+    """Losses by dictionaries."""
+    table = M.class_table()
+    bags = {}
+    for k, (d, t) in enumerate(docs):
+        c = [0] * (M.ORDER - 1) + [int(table[b]) for b in (t or "").encode()]
+        bags[k] = [tuple(c[i : i + M.ORDER]) for i in range(len(c) - M.ORDER + 1)]
+    n = {"background": Counter(g for b in bags.values() for g in b), "target": Counter(g for k, b in bags.items() if docs[k][0] in good for g in b)}
+    scale = sum(n["target"].values()) / sum(n["background"].values())
+    n["background"] = Counter({g: c * scale for g, c in n["background"].items()})
+    out = []
+    sums = {}
+    for name, counts in n.items():
+        for o in range(1, M.ORDER + 1):
+            together, context = Counter(), Counter()
+            for g, c in counts.items():
+                together[g[-o:]] += c
+                context[g[-o:-1]] += c
+            sums[name, o] = together, context
+    for k, (d, t) in enumerate(docs):
+        row = [d, len(bags[k])]
+        for name in ("target", "background"):
+            loss = 0.0
+            for g in bags[k]:
+                p = 1 / (1 << M.CLASS_BITS)
+                for o in range(1, M.ORDER + 1):
+                    together, context = sums[name, o]
+                    p = (together[g[-o:]] + M.PRIOR * p) / (context[g[-o:-1]] + M.PRIOR)
+                loss -= math.log2(p)
+            row.append(loss / len(bags[k]) if bags[k] else None)
+        out.append(tuple(row))
+    return out
+
+
+def test_losses_against_dictionaries(spark, rng, make_docs):
+    docs = [(i, prose(rng, rng.randrange(1, 40)) + ("é, 12." if i % 3 else "")) for i in range(40)] + [(50, ""), (51, None), (3, "again")]
+    good = set(range(0, 20))
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    key = lambda r: (r[0], r[1], r[2] or 0)
+    got = sorted(((r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in M.score(make_docs(docs, CLASHING), labels).collect()), key=key)
+    want = sorted(brute(docs, good), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:2] == w[:2]
+        assert g[2:] == (None, None) if w[2] is None else g[2:] == pytest.approx(w[2:], abs=2e-4)
+
+
+def test_target_like_documents_score_lower(spark, rng, make_docs):
+    docs = [(i, " ".join(rng.choice(["zap", "zop", "zip"] if i % 2 else ["mil", "mol", "mal"]) for _ in range(50))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r.score for r in M.score(make_docs(docs), labels).collect()}
+    assert max(rows[i] for i in rows if i % 2) < min(rows[i] for i in rows if not i % 2)
+
+
+def test_no_target_and_empty_tables(spark, make_docs):
+    labels = spark.createDataFrame([(None, 1, 0), (1, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    assert [r.score for r in M.score(make_docs([(1, "abc"), (None, "x")]), labels).collect()] == [None, None]
+    assert M.score(make_docs([]), labels).count() == 0

@@ -126,10 +126,15 @@ def find_list(c: Column, key: str) -> Column:
     return _search(c, F.lit(key))
 
 
+@F.pandas_udf(StringType())
+def _korean(body: pd.Series) -> pd.Series:
+    return body.map(lambda b: None if b is None else bytes(b).decode("cp949", "replace"))
+
+
 def decoded(body: Column, content_type: Column) -> Column:
-    """The text of a response body, by its declared character set."""
+    """The text of a response body, by its declared character set; Spark itself decodes no Korean one."""
     korean = F.lower(F.coalesce(content_type, F.lit(""))).rlike("euc-?kr|ks_c_5601|cp949")
-    return F.when(korean, F.decode(body, "EUC-KR")).otherwise(F.decode(body, "UTF-8"))
+    return F.when(korean, _korean(F.when(korean, body))).otherwise(F.decode(F.when(~korean, body), "UTF-8"))
 
 
 def cookies(c: Column, domain: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,8 +76,8 @@ def partition_spec(spec: str) -> list[tuple[str, float]]:
 
 
 def turns(spec: str, n: int) -> list[str]:
-    """Who gets each of n rows: the one that lags most behind its share, ties to the first in the spec."""
-    parts, got, out = partition_spec(spec), {}, []
+    """Who gets each of n rows: the one that lags most behind its share, in exact numbers, ties to the first in the spec."""
+    parts, got, out = [(name, Fraction(str(w))) for name, w in partition_spec(spec)], {}, []
     whole = sum(w for _, w in parts)
     for k in range(1, n + 1):
         name = max(parts, key=lambda p: k * p[1] / whole - got.get(p[0], 0))[0]

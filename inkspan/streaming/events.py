@@ -58,8 +58,8 @@ STATE = "status string, claim_id string, claimed_at double"
 CLAIMS = "job long, task_key string, status string, claim_id string"
 
 
-def claims(events: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
-    """The status of each task (job, task_key) after its events (kind: claim, complete, fail, with claim_id): a claim whose time runs out makes it pending again; completion counts only with the claim that holds."""
+def claims(events: DataFrame, timeout_ms: int = 600_000, late: str = "10 minutes") -> DataFrame:
+    """The status of each task (job, task_key) after its events (kind: claim, complete, fail, with claim_id): a claim whose time runs out makes it pending again; completion counts only with the claim that holds. Time is that of the events, so a drained stream comes to an end."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         status, claim, at = state.get if state.exists else ("pending", "", 0.0)
@@ -77,10 +77,10 @@ def claims(events: DataFrame, timeout_ms: int = 600_000) -> DataFrame:
                     status = "updated" if r.kind == "complete" else "error"
         state.update((status, claim, at))
         if status == "claimed":
-            state.setTimeoutDuration(timeout_ms)
+            state.setTimeoutTimestamp(max(int(at * 1000) + timeout_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([(key[0], key[1], status, claim)], columns=["job", "task_key", "status", "claim_id"])
 
-    return events.groupBy("job", "task_key").applyInPandasWithState(step, CLAIMS, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return events.withWatermark("ts", late).groupBy("job", "task_key").applyInPandasWithState(step, CLAIMS, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def is_terminal(status: F.Column) -> F.Column:

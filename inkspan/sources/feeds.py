@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from inkspan.functions import text as T
+from inkspan.functions.calls import arguments
 from inkspan.functions.dates import from_parts, normalize
 
 HIT_FIELDS = "stored_toc_seq stored_field_subject stored_field_year stored_field_month stored_field_day keyword_field_regdate stored_ebook_no stored_organ_nm stored_category_name stored_field_url stored_pdf_file_path stored_laword_nm keyword_toc_seq".split()
@@ -102,7 +103,7 @@ def list_rows(html: str | None) -> tuple[int, int, list[dict]]:
     numbers = [int(x) for x in re.findall(r"fnGoPage\('(\d+)'\)", html or "")]
     out = []
     for r in p.rows:
-        args = T._arguments(r["onclick"], "fnDetail") if r["onclick"] else []
+        args = arguments(r["onclick"], "fnDetail") if r["onclick"] else []
         if len(r["cells"]) < 5 or len(args) < 10:
             continue
         cells, args = r["cells"], [x.strip() for x in args]

@@ -14,7 +14,7 @@ HEAD, TAIL, TAIL_BYTES, LEAST_BYTES = b"%PDF-", b"%%EOF", 4096, 100
 
 
 def pdfs(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, size, modified, content) of every PDF below a folder. Columns that a query leaves out are not read."""
+    """(path, size, modified, content) of every PDF below a folder. Columns that a query leaves out are not read, and Spark lists no file of 0 bytes."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(folder)
     return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content")
 

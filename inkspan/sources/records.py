@@ -13,7 +13,7 @@ from inkspan.operators.items import best_of
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """(path, raw, item, json_error) of every JSON file below a folder; a file that is no object is an error row, never a failure."""
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("wholetext", True).text(folder)
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     parsed = raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"), F.try_parse_json("value").alias("item"))
     ok = F.coalesce(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")), F.lit(False))
     return parsed.select("path", "raw", F.when(ok, F.col("item")).alias("item"), (~ok).alias("json_error"))
@@ -28,7 +28,7 @@ def store(spark: SparkSession, aggregate: str | None, folder: str | None) -> Dat
     """(id, raw) of a keyed store: an aggregate file of id to item, overlaid by single files, the later path first; empty ids are left out."""
     parts = []
     if aggregate:
-        whole = spark.read.option("wholetext", True).text(aggregate).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "raw"))
+        whole = spark.read.text(aggregate, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "raw"))
         parts.append(whole.withColumns({"prio": F.lit(0), "path": F.lit("")}))
     if folder:
         single = items(spark, folder).where("not json_error")
@@ -44,7 +44,7 @@ def lookup(table: DataFrame, year: str, date_key: str, item_id: str) -> DataFram
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_number, value) of a text file's lines, from 0. A file is numbered as a whole, so it is read as a whole."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_number", "value"))
 
 

@@ -2,7 +2,9 @@
 
 1. One scan counts, for each of FEATURES hash buckets of shingles, the documents
    that hold it. The table has a fixed size; its sum over tasks is the only
-   thing gathered. IDF of a shingle is ln(1 + N / df of its bucket).
+   thing gathered. IDF of a shingle is ln(1 + N / (df + SMOOTH * N)), df of its
+   bucket: without SMOOTH the odd words of a copy, unique, would outweigh by far
+   what a group of thousands shares.
 2. A second scan draws BANDS * ROWS improved consistent weighted samples of each
    document's tf*idf shingles (Ioffe 2010) and packs them into band keys.
    Documents with the same weighted shingles collapse to their least doc_id.
@@ -35,6 +37,7 @@ from inkspan.llm.shared import BROADCAST_BYTES, small_batches, unused, written
 
 SHINGLE, THRESHOLD = 2, 0.6
 BANDS, ROWS = 16, 3
+SMOOTH = 1 / 64
 FEATURE_BITS = 20
 FEATURES = 1 << FEATURE_BITS
 ID_BITS = 44
@@ -111,7 +114,7 @@ def document_frequencies(docs: DataFrame, shingle: int = SHINGLE) -> tuple[int,
 
 
 def idf_table(n: int, df: np.ndarray) -> np.ndarray:
-    return np.log1p(n / np.maximum(df, 1)).astype(np.float32)
+    return np.log1p(n / (np.maximum(df, 1) + SMOOTH * n)).astype(np.float32)
 
 
 class Sampler:

@@ -40,6 +40,8 @@ BANDS, ROWS = 16, 3
 SMOOTH = 1 / 64
 FEATURE_BITS = 20
 FEATURES = 1 << FEATURE_BITS
+#: Partial count tables are added up in so many lanes first, so that no task reads those of all others.
+LANES = 256
 ID_BITS = 44
 POOL = 1 << 16
 U = np.uint64
@@ -102,7 +104,8 @@ def document_frequencies(docs: DataFrame, shingle: int = SHINGLE) -> tuple[int,
             yield pa.record_batch([pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())], names=["part", "counts"])
 
     schema = "part int, counts binary"
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, schema).repartition(8, "part").mapInArrow(add, schema).collect()
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, schema).withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
+    rows = rows.repartition("part", "lane").select("part", "counts").mapInArrow(add, schema).repartition(8, "part").mapInArrow(add, schema).collect()
     df, n = np.zeros(FEATURES, np.int64), 0
     for r in rows:
         a = np.frombuffer(r["counts"], np.uint64).astype(np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import chat, decontam, exact_dedup, langid, lm_score, mixing, near_dedup, shards, url_filter, warc
+from inkspan.llm import chat, decontam, exact_dedup, langid, mixing, near_dedup, shards, url_filter, warc, word_lm
 from inkspan.llm.shared import fresh_path, table
 
 
@@ -44,7 +44,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document against the documents of good quality."""
-    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return word_lm.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,13 +5,14 @@ count). A document is contaminated by an item of n words if some window of it,
 of n - e to n + e words, is within e = floor(MAX_EDITS * n) word edits of it.
 
 1. Screen, without loss: each edit spoils at most two word pairs of the item,
-   so a true window holds at least n - 1 - 2e pairs of items. Only starts of
-   windows that dense go on. (Items of one word are looked up directly.)
+   so a true window holds at least n - 1 - 2e pairs of it, each
+   within e places of where it is in the item. Only starts of such windows go on. (Items of one word are looked up directly.)
 2. The CGK random walk (Chakraborty, Goldenberg, Koucky 2016) embeds the window
-   of n words and each item of n words; edit distance becomes Hamming distance.
-   Repetitions draw new walks and sample coordinates; equal samples make a
-   candidate. Their number comes from simulated pairs at exactly e edits and
-   gives TARGET_RECALL for those, the hardest ones.
+   of n words and each item of n words, whole, in 2n steps; edit distance
+   becomes Hamming distance. Repetitions draw new walks and sample coordinates;
+   equal samples make a candidate. Their number comes from simulated pairs at
+   exactly e edits, spread or crowded at either end or the middle, and runs of
+   insertions and deletions, and gives TARGET_RECALL for each of these kinds.
 3. Candidates are verified by exact edit distance.
 
 The benchmark is handled in slices whose index stays within SLICE_BYTES; each
@@ -38,8 +39,8 @@ from inkspan.llm.shared import small_batches
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
 SLICE_BYTES = 8 << 20
-#: Steps of a walk; about half as many words are read.
-MAX_STEPS = 48
+#: Kinds of edits that repetitions are tuned on: where (shares of the item between which all lie), and of which kind (0 substitution, 1 insertion, 2 deletion, None any).
+KINDS = ((0, 1, None), (0, 0.4, None), (0.3, 0.7, None), (0.6, 1, None), (0, 0.2, 1), (0, 0, 1), (0, 0.2, 2), (0.5, 0.5, 1))
 #: Stands for a null item_id within an index.
 NO_ID = -(1 << 63)
 U = np.uint64
@@ -55,13 +56,19 @@ def edits_allowed(n: int, share: float = MAX_EDITS) -> int:
 def walk(words: np.ndarray, seed: int, steps: int) -> np.ndarray:
     """Where the CGK walk of each row of word hashes stands at each step: steps by rows. It does not depend on where the row ends, so windows of every length share it."""
     rows, wide = words.shape
-    flat, line, at = np.ascontiguousarray(words).reshape(-1), np.arange(rows) * wide, np.zeros(rows, np.int64)
+    flat, line = np.ascontiguousarray(words).reshape(-1), np.arange(rows) * wide
     out = np.empty((steps, rows), np.int64)
     salt = K.mix(np.arange(1, steps + 1, dtype=np.uint64) * STEP + K.mix(np.full(1, seed, np.uint64)))
+    at, last, coin = line.copy(), line + wide - 1, np.empty(rows, np.uint64)
     for j in range(steps):
         out[j] = at
-        coin = (flat[line + at] ^ salt[j]) * K.M1
-        at = np.minimum(at + (coin >> U(63)).astype(np.int64), wide - 1)
+        np.take(flat, at, out=coin, mode="clip")
+        coin ^= salt[j]
+        coin *= K.M1
+        coin >>= U(63)
+        at += coin.view(np.int64)
+        np.minimum(at, last, out=at)
+    out -= line
     return out
 
 
@@ -74,16 +81,17 @@ def key_of(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 
 
 def coordinates(n: int, seed: int, sampled: int) -> np.ndarray:
-    """Distinct coordinates to sample, among the first 2n or MAX_STEPS of the embedding."""
-    most = min(2 * n, MAX_STEPS)
+    """Distinct coordinates to sample, among the 2n of the embedding."""
+    most = 2 * n
     return np.sort(np.random.default_rng([seed, n]).choice(most, min(sampled, most), replace=False))
 
 
-def spoiled(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
-    """A copy after so many random substitutions, insertions and deletions, cut or padded to its length."""
-    out = list(words)
+def spoiled(words: np.ndarray, edits: int, rng: np.random.Generator, lo: float = 0, hi: float = 1, only: int | None = None) -> np.ndarray:
+    """A copy after so many random edits between two shares of its length, of one kind or any, cut or padded to its length."""
+    out, n = list(words), len(words)
     for _ in range(edits):
-        p, kind = int(rng.integers(max(1, len(out)))), int(rng.integers(3))
+        kind = int(rng.integers(3)) if only is None else only
+        p = min(int(lo * n) + int(rng.integers(max(1, int((hi - lo) * n)))), max(0, len(out) - 1))
         new = U(rng.integers(1, 1 << 62))
         if kind == 0 and out:
             out[p] = new
@@ -91,24 +99,29 @@ def spoiled(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarr
             out.insert(p, new)
         elif out:
             del out[p]
-    out = (out + [U(rng.integers(1, 1 << 62)) for _ in range(len(words))])[: len(words)]
+    out = (out + [U(rng.integers(1, 1 << 62)) for _ in range(n)])[:n]
     return np.array(out, np.uint64)
 
 
+def ended(words: np.ndarray) -> np.ndarray:
+    """With a column for the end, where walks stay: as in a longer window, they must not stay at the last word."""
+    return np.pad(words, ((0, 0), (0, 1)))
+
+
 def repetitions(n: int, edits: int, sampled: int, target: float, most: int = 192, pairs: int = 48) -> int:
-    """Least number of repetitions that finds the target share of simulated pairs at so many edits."""
+    """Least number of repetitions that finds the target share of simulated pairs of every kind at so many edits."""
     if not edits:
         return 1
     rng = np.random.default_rng([n, edits, sampled])
-    a = rng.integers(1, 1 << 62, (pairs, n), dtype=np.uint64)
-    b = np.stack([spoiled(x, edits, rng) for x in a])
-    hits, trials, steps = np.zeros(pairs), 24, min(2 * n, MAX_STEPS)
+    a = rng.integers(1, 1 << 62, (pairs * len(KINDS), n), dtype=np.uint64)
+    b = np.stack([spoiled(x, edits, rng, *KINDS[i // pairs]) for i, x in enumerate(a)])
+    a, b, hits, trials = ended(a), ended(b), np.zeros(len(a)), 24
     for s in range(trials):
         c = coordinates(n, s, sampled)
-        hits += key_of(a, walk(a, s, steps)[c], n) == key_of(b, walk(b, s, steps)[c], n)
-    p = np.clip(hits / trials, 0.5 / trials, 1)
+        hits += key_of(a, walk(a, s, 2 * n)[c], n) == key_of(b, walk(b, s, 2 * n)[c], n)
+    p = np.clip(hits / trials, 0.5 / trials, 1).reshape(len(KINDS), pairs)
     for r in range(1, most):
-        if float(np.mean(1 - (1 - p) ** r)) >= target:
+        if float((1 - (1 - p) ** r).mean(axis=1).min()) >= target:
             return r
     return most
 
@@ -132,13 +145,15 @@ def build_index(items: list[tuple[int, str]], share: float = MAX_EDITS, target:
         texts = np.stack([h for _, h in by_n[n]])
         e = edits_allowed(n, share)
         sampled = max(2, int(np.ceil(np.log2(len(ids) + 1) / 4)))
-        walks = []
+        walks, padded = [], ended(texts)
         for s in range(repetitions(n, e, sampled, target)):
             c = coordinates(n, s, sampled)
-            keys = key_of(texts, walk(texts, s, MAX_STEPS)[c], n)
+            keys = key_of(padded, walk(padded, s, 2 * n)[c], n)
             order = np.argsort(keys, kind="stable")
             walks.append((c, keys[order], order))
-        lengths.append({"n": n, "edits": e, "ids": ids, "words": texts, "walks": walks})
+        own = np.concatenate([pair_hashes(h) for h in texts])
+        order = np.argsort(own, kind="stable")
+        lengths.append({"n": n, "edits": e, "ids": ids, "words": texts, "pairs": own[order], "places": order, "walks": walks})
     return {"bits": min(bits, 27), "table": table, "lengths": lengths}
 
 
@@ -147,18 +162,30 @@ def pair_hashes(h: np.ndarray) -> np.ndarray:
 
 
 def distances(items: np.ndarray, windows: np.ndarray, edits: int, length: np.ndarray) -> np.ndarray:
-    """For each row the least edit distance from the item to a window that starts where the row does and has n - edits to n + edits words. length: words that the row really has."""
+    """For each row the least edit distance from the item to a window that starts where the row does and has n - edits to n + edits words; n + edits + 1 where that is more than edits. length: words that the row really has."""
     rows, n = items.shape
-    wide = windows.shape[1]
-    idx = np.arange(wide + 1, dtype=np.int32)
-    d = np.broadcast_to(idx, (rows, wide + 1)).astype(np.int32)
-    for i in range(n):
-        t = np.empty_like(d)
-        t[:, 0] = i + 1
-        t[:, 1:] = np.minimum(d[:, 1:] + 1, d[:, :-1] + (windows != items[:, i : i + 1]))
-        d = np.minimum.accumulate(t - idx, axis=1) + idx
-    ok = (idx[None, :] >= n - edits) & (idx[None, :] <= np.minimum(n + edits, length)[:, None])
-    return np.where(ok, d, n + edits + 1).min(axis=1)
+    out, live = np.full(rows, n + edits + 1, np.int32), np.arange(rows)
+    # a band of 2 edits + 1 diagonals: column k at item word i is the window's first i - edits + k words
+    k = np.arange(2 * edits + 1, dtype=np.int32)
+    windows = np.pad(windows, ((0, 0), (edits + 1, max(0, n + edits - windows.shape[1]))))
+    far = np.int32(2 * n + 2 * edits)
+    d = np.broadcast_to(np.where(k >= edits, k - edits, far), (rows, k.size)).astype(np.int32)
+    for i in range(1, n + 1):
+        # window word j = i - edits + k, counted from 1, is at j + edits
+        t = d + (windows[:, i : i + k.size] != items[:, i - 1 : i])
+        t[:, :-1] = np.minimum(t[:, :-1], d[:, 1:] + 1)
+        if i <= edits:
+            t[:, : edits - i] = far
+            t[:, edits - i] = i
+        d = np.minimum.accumulate(t - k, axis=1) + k
+        if i % 4 == 0 and not (on := d.min(axis=1) <= edits).all():
+            d, windows, items, length, live = d[on], windows[on], items[on], length[on], live[on]
+            if not live.size:
+                return out
+    j = n - edits + k
+    least = np.where(j[None, :] <= length[:, None], d, far).min(axis=1)
+    out[live] = np.where(least <= edits, least, n + edits + 1)
+    return out
 
 
 class Finder:
@@ -184,11 +211,13 @@ class Finder:
     def screen(self, row: int, buf: np.ndarray, offs: np.ndarray) -> None:
         """Keeps the starts of windows in this chunk, whose first document is of that row, that can match."""
         h, word_at, _, _ = self.words(buf, offs)
-        hit = np.zeros(0, np.int64)
+        hits, pair = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         if h.size > 1:
-            hit = np.flatnonzero(self.index["table"][(pair_hashes(h) >> U(64 - self.index["bits"])).astype(np.int64)])
-            hit = hit[hit + 1 < word_at[np.searchsorted(word_at, hit, "right")]]
-        doc_of_hit = np.searchsorted(word_at, hit, "right") - 1
+            pair = pair_hashes(h)
+            hits = np.flatnonzero(self.index["table"][(pair >> U(64 - self.index["bits"])).astype(np.int64)])
+            hits = hits[hits + 1 < word_at[np.searchsorted(word_at, hits, "right")]]
+            pair = pair[hits]
+        doc_of_hit = np.searchsorted(word_at, hits, "right") - 1
         per_length = []
         for group in self.index["lengths"]:
             n, e = group["n"], group["edits"]
@@ -203,18 +232,24 @@ class Finder:
                         self.add(row + doc, int(group["ids"][order[k]]), 0, int(s - word_at[doc]), 1)
                 continue
             need = n - 1 - 2 * e
-            if hit.size < need:
+            if hits.size < need:
+                continue
+            first, last = np.searchsorted(group["pairs"], pair), np.searchsorted(group["pairs"], pair, "right")
+            many = last - first
+            if many.sum() < need:
                 continue
-            ahead = hit.size - need + 1
-            j = np.flatnonzero((hit[need - 1 :] - hit[:ahead] <= n + e - 2) & (doc_of_hit[need - 1 :] == doc_of_hit[:ahead]))
-            lo = np.maximum(hit[j + need - 1] + 2 - (n + e), word_at[doc_of_hit[j]])
-            hi = np.minimum(hit[j], word_at[doc_of_hit[j] + 1] - (n - e))
-            lo, hi = lo[hi >= lo], hi[hi >= lo]
-            if lo.size:
-                # both bounds rise, so the starts are the union of overlapping runs
-                lo[1:] = np.maximum(lo[1:], np.maximum.accumulate(hi)[:-1] + 1)
-                span = np.maximum(hi - lo + 1, 0)
-                per_length[-1] = np.repeat(lo - np.concatenate(([0], np.cumsum(span)[:-1])), span) + np.arange(span.sum())
+            place = group["places"][np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())]
+            item, at = np.divmod(place, n - 1)
+            doc = np.repeat(doc_of_hit, many)
+            begin = np.repeat(hits, many) - at
+            order = np.lexsort((begin, doc, item))
+            item, doc, begin = item[order], doc[order], begin[order]
+            ahead = begin.size - need + 1
+            j = np.flatnonzero((begin[need - 1 :] - begin[:ahead] <= 2 * e) & (doc[need - 1 :] == doc[:ahead]) & (item[need - 1 :] == item[:ahead]))
+            lo = np.maximum(begin[j + need - 1] - e, word_at[doc[j]])
+            hi = np.minimum(begin[j] + e, word_at[doc[j] + 1] - (n - e))
+            span = np.maximum(hi - lo + 1, 0)
+            per_length[-1] = np.unique(np.repeat(lo - np.cumsum(span) + span, span) + np.arange(span.sum()))
         starts = np.unique(np.concatenate(per_length)) if per_length else np.zeros(0, np.int64)
         if not starts.size:
             return
@@ -238,13 +273,18 @@ class Finder:
         wide, rows, starts, left = np.concatenate(self.windows), np.concatenate(self.rows), np.concatenate(self.starts), np.concatenate(self.left)
         of_length = [np.concatenate(x) for x in self.of_length]
         used = [(group, of, []) for group, of in zip(self.index["lengths"], of_length) if of.size]
+        live: list = []
         for s in range(max((len(group["walks"]) for group, _, _ in used), default=0)):
-            path = walk(wide, s, MAX_STEPS)
-            for group, of, pairs in used:
-                if s >= len(group["walks"]):
-                    continue
+            if s == 0 or any(s >= len(group["walks"]) for group, _, _, _ in live):
+                going = [x for x in used if s < len(x[0]["walks"])]
+                walking = np.unique(np.concatenate([of for _, of, _ in going]))
+                steps = 2 * max(group["n"] for group, _, _ in going)
+                on = ended(wide[walking])
+                live = [(*x, np.searchsorted(walking, x[1])) for x in going]
+            path = walk(on, s, steps)
+            for group, of, pairs, at in live:
                 coords, keys, order = group["walks"][s]
-                k = key_of(wide[of], path[coords][:, of], group["n"])
+                k = key_of(on[at], path[coords[:, None], at], group["n"])
                 lo, hi = np.searchsorted(keys, k), np.searchsorted(keys, k, "right")
                 w = np.flatnonzero(hi > lo)
                 if w.size:

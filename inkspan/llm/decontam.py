@@ -13,6 +13,7 @@ of n - e to n + e words, is within e = floor(MAX_EDITS * n) word edits of it.
    equal samples make a candidate. Their number comes from simulated pairs at
    exactly e edits, spread or crowded at either end or the middle, and runs of
    insertions and deletions, and gives TARGET_RECALL for each of these kinds.
+   Where MAX_REPETITIONS don't reach it, all items of the length are candidates.
 3. Candidates are verified by exact edit distance.
 
 The benchmark is handled in slices whose index stays within SLICE_BYTES; each
@@ -26,6 +27,7 @@ nothing; extra columns pass through.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import Iterator
 
 import numpy as np
@@ -39,6 +41,8 @@ from inkspan.llm.shared import small_batches
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
 SLICE_BYTES = 8 << 20
+#: Repetitions at most; a length that needs more is verified exhaustively.
+MAX_REPETITIONS = 384
 #: Kinds of edits that repetitions are tuned on: where (shares of the item between which all lie), and of which kind (0 substitution, 1 insertion, 2 deletion, None any).
 KINDS = ((0, 1, None), (0, 0.4, None), (0.3, 0.7, None), (0.6, 1, None), (0, 0.2, 1), (0, 0, 1), (0, 0.2, 2), (0.5, 0.5, 1))
 #: Stands for a null item_id within an index.
@@ -108,22 +112,22 @@ def ended(words: np.ndarray) -> np.ndarray:
     return np.pad(words, ((0, 0), (0, 1)))
 
 
-def repetitions(n: int, edits: int, sampled: int, target: float, most: int = 192, pairs: int = 48) -> int:
-    """Least number of repetitions that finds the target share of simulated pairs of every kind at so many edits."""
+@lru_cache(1024)
+def repetitions(n: int, edits: int, sampled: int, target: float, most: int = MAX_REPETITIONS, pairs: int = 100) -> int | None:
+    """Least number of repetitions, as they are drawn, that finds the target share of simulated pairs of every kind at so many edits; None where most don't."""
     if not edits:
         return 1
     rng = np.random.default_rng([n, edits, sampled])
     a = rng.integers(1, 1 << 62, (pairs * len(KINDS), n), dtype=np.uint64)
     b = np.stack([spoiled(x, edits, rng, *KINDS[i // pairs]) for i, x in enumerate(a)])
-    a, b, hits, trials = ended(a), ended(b), np.zeros(len(a)), 24
-    for s in range(trials):
+    a, b, kind = ended(a), ended(b), np.arange(len(a)) // pairs
+    for s in range(most):
         c = coordinates(n, s, sampled)
-        hits += key_of(a, walk(a, s, 2 * n)[c], n) == key_of(b, walk(b, s, 2 * n)[c], n)
-    p = np.clip(hits / trials, 0.5 / trials, 1).reshape(len(KINDS), pairs)
-    for r in range(1, most):
-        if float((1 - (1 - p) ** r).mean(axis=1).min()) >= target:
-            return r
-    return most
+        missed = key_of(a, walk(a, s, 2 * n)[c], n) != key_of(b, walk(b, s, 2 * n)[c], n)
+        a, b, kind = a[missed], b[missed], kind[missed]
+        if np.bincount(kind, minlength=1).max() <= (1 - target) * pairs:
+            return s + 1
+    return None
 
 
 def build_index(items: list[tuple[int, str]], share: float = MAX_EDITS, target: float = TARGET_RECALL) -> dict:
@@ -146,14 +150,15 @@ def build_index(items: list[tuple[int, str]], share: float = MAX_EDITS, target:
         e = edits_allowed(n, share)
         sampled = max(2, int(np.ceil(np.log2(len(ids) + 1) / 4)))
         walks, padded = [], ended(texts)
-        for s in range(repetitions(n, e, sampled, target)):
+        reps = repetitions(n, e, sampled, target)
+        for s in range(reps or 0):
             c = coordinates(n, s, sampled)
             keys = key_of(padded, walk(padded, s, 2 * n)[c], n)
             order = np.argsort(keys, kind="stable")
             walks.append((c, keys[order], order))
         own = np.concatenate([pair_hashes(h) for h in texts])
         order = np.argsort(own, kind="stable")
-        lengths.append({"n": n, "edits": e, "ids": ids, "words": texts, "pairs": own[order], "places": order, "walks": walks})
+        lengths.append({"n": n, "edits": e, "ids": ids, "words": texts, "pairs": own[order], "places": order, "walks": walks, "all": reps is None})
     return {"bits": min(bits, 27), "table": table, "lengths": lengths}
 
 
@@ -272,7 +277,7 @@ class Finder:
             return
         wide, rows, starts, left = np.concatenate(self.windows), np.concatenate(self.rows), np.concatenate(self.starts), np.concatenate(self.left)
         of_length = [np.concatenate(x) for x in self.of_length]
-        used = [(group, of, []) for group, of in zip(self.index["lengths"], of_length) if of.size]
+        used = [(group, of, [(of[:, None] * len(group["ids"]) + np.arange(len(group["ids"]))).reshape(-1)] if group["all"] else []) for group, of in zip(self.index["lengths"], of_length) if of.size]
         live: list = []
         for s in range(max((len(group["walks"]) for group, _, _ in used), default=0)):
             if s == 0 or any(s >= len(group["walks"]) for group, _, _, _ in live):

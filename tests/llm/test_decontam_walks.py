@@ -66,3 +66,26 @@ def test_distances_in_a_band_against_dictionaries():
             row = distance(list(items[k]), list(windows[k][: length[k]]))
             least = min(row[n - e : n + e + 1], default=n)
             assert got[k] == (least if least <= e else n + e + 1)
+
+
+def test_repetitions_do_not_claim_what_they_miss():
+    """As many as are returned find the target share of fresh pairs of each kind; where too few are allowed, none are."""
+    n, e, sampled = 55, 11, 3
+    most = D.repetitions(n, e, sampled, 0.98)
+    if most:
+        rng = np.random.default_rng(77)
+        for kind in D.KINDS:
+            a = rng.integers(1, 1 << 62, (100, n), dtype=np.uint64)
+            b = D.ended(np.stack([D.spoiled(x, e, rng, *kind) for x in a]))
+            a, hit = D.ended(a), np.zeros(100, bool)
+            for s in range(most):
+                c = D.coordinates(n, s, sampled)
+                hit |= D.key_of(a, D.walk(a, s, 2 * n)[c], n) == D.key_of(b, D.walk(b, s, 2 * n)[c], n)
+            assert hit.mean() >= 0.93
+    assert D.repetitions(n, e, sampled, 0.98, 8) is None
+
+
+def test_lengths_beyond_all_repetitions_are_verified_exhaustively(monkeypatch):
+    monkeypatch.setattr(D, "repetitions", lambda *a: None)
+    for spoil in (spread, early, inserted, run):
+        assert found_share(39, spoil) == 1

@@ -41,8 +41,16 @@ def fold_table() -> np.ndarray:
 
 
 def folded(buf: np.ndarray, fold: np.ndarray) -> np.ndarray:
-    """Applies the fold table, and lowers À to Þ (UTF-8 C3 80 to C3 9E without C3 97)."""
+    """Applies the fold table, lowers À to Þ (UTF-8 C3 80 to C3 9E without C3 97), and takes signs beyond ASCII for what separates words: U+0080 to U+00BF but for ª µ º, U+2000 to U+206F, U+3000 to U+303F."""
     x = fold[buf]
+    if buf.size > 1 and (lead := np.flatnonzero(buf[:-1] == 0xC2)).size:
+        nxt = buf[lead + 1]
+        lead = lead[(nxt != 0xAA) & (nxt != 0xB5) & (nxt != 0xBA)]
+        x[lead] = x[lead + 1] = fold[0]
+    for first, second in ((0xE2, (0x80, 0x81)), (0xE3, (0x80,))):
+        if buf.size > 2 and (lead := np.flatnonzero(buf[:-2] == first)).size:
+            lead = lead[np.isin(buf[lead + 1], second)]
+            x[lead] = x[lead + 1] = x[lead + 2] = fold[0]
     if buf.size > 1 and (lead := np.flatnonzero(buf[:-1] == 0xC3)).size:
         nxt = buf[lead + 1]
         lead = lead[(nxt >= 0x80) & (nxt <= 0x9E) & (nxt != 0x97)]
@@ -72,7 +80,7 @@ def chunks(col: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, n
 
 
 class Words:
-    """Hashes of the words of a chunk. A word is a run of folded letters, digits and non-ASCII bytes within a document."""
+    """Hashes of the words of a chunk. A word is a run of folded letters, digits and non-ASCII bytes within a document; of scripts that are written without spaces (Thai to Lao, kana, Han: UTF-8 E0 B8 to E0 BB, E3 81 to E9 BF) each character."""
 
     def __init__(self) -> None:
         self.fold = fold_table()
@@ -105,10 +113,18 @@ class Words:
         before = np.empty_like(is_word)
         before[0] = False
         before[1:] = is_word[:-1]
-        start = np.flatnonzero(is_word & (~before | first))
+        lone = np.zeros(0, np.int64)
+        if buf.size > 2 and (lead := np.flatnonzero((buf[:-2] >= 0xE0) & (buf[:-2] <= 0xE9))).size:
+            b, c = buf[lead], buf[lead + 1]
+            lone = lead[is_word[lead] & (((b == 0xE0) & (c >= 0xB8) & (c <= 0xBB)) | ((b == 0xE3) & (c >= 0x81)) | (b >= 0xE4))]
+        begins = ~before | first
+        begins[lone] = True
+        behind = lone + 3
+        begins[behind[behind < buf.size]] = True
+        start = np.flatnonzero(is_word & begins)
         after = np.empty_like(is_word)
         after[-1] = False
-        after[:-1] = is_word[1:] & ~first[1:]
+        after[:-1] = is_word[1:] & ~begins[1:]
         end = np.flatnonzero(is_word & ~after)
         sums = self.byte[x]
         sums *= self.pow[: buf.size]

@@ -6,9 +6,9 @@ document's bits are counted by language, corrected for the filter's false
 positives (known from each slice's fill), and the greatest share decides.
 
 N-grams are N bytes of folded text: lower case, runs of all but letters one
-space, a space before the text. The filter is fitted on TRAIN_ROWS labelled
-rows at most, those least by a hash of doc_id; each language enters with its
-TOP_GRAMS most frequent n-grams, so that a large language has no advantage.
+space, a space before and after the text. The filter is fitted on TRAIN_ROWS
+labelled rows and TRAIN_BYTES of text at most, those least by a hash of doc_id;
+it holds all n-grams of these rows, and has SLOTS slots for each.
 Identification reads the whole text of all documents.
 
 Defined cases: a text that is null, without letters, or too short for an n-gram
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from inkspan.llm import kernel as K
 from inkspan.llm.shared import small_batches
 
-N, TOP_GRAMS, TRAIN_ROWS, SLOT_BITS, HASHES, MIN_SHARE = 4, 4000, 4000, 17, 2, 0.2
+N, SLOTS, HASHES, MIN_SHARE = 4, 16, 2, 0.2
+#: The bounded sample that the filter is fitted on.
+TRAIN_ROWS, TRAIN_BYTES = 4000, 16 << 20
 U = np.uint64
 
 
@@ -45,66 +47,69 @@ class Grams:
 
     def __call__(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         docs = offs.size - 1
-        # a space before each document, and one after the last
-        x = np.full(buf.size + docs + 1, 32, np.uint8)
-        lead = offs[:-1] + np.arange(docs)
+        # a space before and after each document
+        x = np.full(buf.size + 2 * docs, 32, np.uint8)
+        lead = offs[:-1] + 2 * np.arange(docs)
         text = np.ones(x.size, bool)
-        text[lead] = text[-1] = False
+        text[lead] = text[offs[1:] + 2 * np.arange(docs) + 1] = False
         x[text] = K.folded(buf, self.fold)
         space = x == 32
         keep = np.ones(x.size, bool)
         keep[1:] = ~(space[1:] & space[:-1])
         keep[lead] = True
-        if docs:  # a document's own leading space, not the one that ends its predecessor
-            after = lead + 1
-            keep[after[after < x.size]] &= ~space[after[after < x.size]]
         y = x[keep]
-        at = np.concatenate((np.cumsum(keep)[lead] - 1, [y.size]))
+        at = np.append(np.cumsum(keep)[lead] - 1, y.size)
+        size = np.maximum(np.diff(at) - N + 1, 0)
+        out_at = np.zeros(docs + 1, np.int64)
+        np.cumsum(size, out=out_at[1:])
         if y.size < N:
-            return np.zeros(0, np.uint32), np.zeros(docs + 1, np.int64)
+            return np.zeros(0, np.uint32), out_at
         code = y[: y.size - N + 1].astype(np.uint32)
         for i in range(1, N):
             code = (code << np.uint32(8)) | y[i : y.size - N + 1 + i]
-        # a gram may end with the space that leads the next document, which stands for the end of its own
-        size = np.maximum(np.diff(at) + 1 - N + 1, 0)
-        size[-1:] = np.maximum(at[-1] - at[-2] - N + 1, 0)
-        out_at = np.zeros(docs + 1, np.int64)
-        np.cumsum(size, out=out_at[1:])
-        ok = np.zeros(code.size + 1, np.int32)
+        own = np.zeros(code.size + 1, np.int32)
         some = size > 0
-        np.add.at(ok, at[:-1][some], 1)
-        np.add.at(ok, at[:-1][some] + size[some], -1)
-        return code[np.cumsum(ok[:-1]) > 0], out_at
+        np.add.at(own, at[:-1][some], 1)
+        np.add.at(own, at[:-1][some] + size[some], -1)
+        return code[np.cumsum(own[:-1]) > 0], out_at
 
 
-def slots(code: np.ndarray, bits: int = SLOT_BITS) -> list[np.ndarray]:
+def slots(code: np.ndarray, bits: int) -> list[np.ndarray]:
     h = K.mix(code.astype(np.uint64) + U(0x9E3779B97F4A7C15))
-    return [((h >> U(20 * i)) & U((1 << bits) - 1)).astype(np.int64) for i in range(HASHES)]
+    return [((h >> U(32 * i)) & U((1 << bits) - 1)).astype(np.int64) for i in range(HASHES)]
 
 
-def fit(rows: list[tuple[str, str]], top: int = TOP_GRAMS, bits: int = SLOT_BITS) -> dict:
-    """The filter from (language, text): languages, masks (words of 64 languages by slots) and false-positive rates."""
+def fit(rows: list[tuple[str, str]]) -> dict:
+    """The filter from (language, text), with all their n-grams: languages, masks (words of languages by slots) and false-positive rates. Slots are SLOTS for each n-gram of the language that has most."""
     grams = Grams()
     languages = sorted({x for x, _ in rows})
-    masks = np.zeros((max(1, -(-len(languages) // 64)), 1 << bits), np.uint64)
-    rate = np.zeros(len(languages))
-    for i, language in enumerate(languages):
+    own = []
+    for language in languages:
         raw = [(t or "").encode() for x, t in rows if x == language]
-        code, _ = grams(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64))
-        seen, n = np.unique(code, return_counts=True)
-        chosen = seen[np.lexsort((seen, -n))[:top]]
+        own.append(np.unique(grams(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64))[0]))
+    bits = min(32, max(10, int(np.ceil(np.log2(max([1, *(x.size for x in own)]) * SLOTS)))))
+    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= 8 * t().itemsize or t is np.uint64)
+    masks = np.zeros((max(1, -(-len(languages) // 64)), 1 << bits), kind)
+    rate = np.zeros(len(languages))
+    for i, chosen in enumerate(own):
         for s in slots(chosen, bits):
-            masks[i // 64, s] |= U(1) << U(i % 64)
-        rate[i] = np.mean((masks[i // 64] >> U(i % 64)) & U(1)) ** HASHES
+            masks[i // 64, s] |= kind(1) << kind(i % 64)
+        rate[i] = np.mean((masks[i // 64] >> kind(i % 64)) & kind(1)) ** HASHES
     return {"languages": languages, "masks": masks, "rate": rate, "bits": bits}
 
 
-def training_rows(docs: DataFrame, most: int = TRAIN_ROWS) -> list[tuple[str, str]]:
-    """(lang, text) of the labelled documents that are least by hash of doc_id: ids are chosen first, so no text is shuffled."""
+def training_rows(docs: DataFrame, most: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> list[tuple[str, str]]:
+    """(lang, text) of the labelled documents that are least by hash of doc_id, as many as stay within most rows and, whole, within most_bytes: ids are chosen first, so no text is shuffled."""
+    spark = docs.sparkSession
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("doc_id is not null and lang is not null and lang <> '' and text is not null")
-    chosen = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).distinct()
-    picked = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r"))
-    return [(r["lang"], r["text"]) for r in picked.select("r.lang", "r.text").orderBy("lang", "text").limit(most).collect()]
+    sizes = labelled.select("doc_id", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id", "n").limit(most).collect()
+    left, chosen = most_bytes, []
+    for r in sizes:
+        left -= r["n"]
+        if left >= 0:
+            chosen.append((r["doc_id"],))
+    picked = labelled.join(F.broadcast(spark.createDataFrame(chosen, "doc_id long").distinct()), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.octet_length("text").alias("n"), "lang", "text")).alias("r"))
+    return [(r["lang"], r["text"]) for r in picked.select("r.lang", "r.text").orderBy("lang", "text").collect()]
 
 
 def counts(grams: Grams, model: dict, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +125,7 @@ def counts(grams: Grams, model: dict, buf: np.ndarray, offs: np.ndarray) -> tupl
             for p in places[1:]:
                 hit = hit & mask[p]
             for i in range(w * 64, min(len(model["languages"]), w * 64 + 64)):
-                bit = ((hit >> U(i % 64)) & U(1)).astype(np.int32)
+                bit = ((hit >> hit.dtype.type(i % 64)) & hit.dtype.type(1)).astype(np.int32)
                 out[some, i] = np.add.reduceat(bit, at[some])
     return n, out
 

@@ -27,10 +27,18 @@ from pyspark.sql import functions as F
 from inkspan.llm.shared import BROADCAST_BYTES, unused, written
 
 MAX_EPOCHS, EXPONENT, SEED = 4.0, 0.5, 17
+#: The mixture of the query and the pipeline: its size as a share of the corpus's, and how many times a source's weight may double.
+BUDGET_SHARE, DOUBLINGS = 2.0, 6
 
 
-def allotments(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None, max_epochs: float = MAX_EPOCHS, exponent: float = EXPONENT) -> DataFrame:
-    """source, size, weight, allotted, repetitions of each source. weights: (source, weight), else size to the exponent; budget in characters, else the corpus's size."""
+def target_weights(docs: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
+    """(source, weight) of a skewed target: each source's weight is a power of two, up to so many doublings, drawn by a digest of its name."""
+    name = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    return docs.select("source").distinct().select(F.col("source").cast("string").alias("source"), F.pow(F.lit(2.0), F.pmod(F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long"), F.lit(doublings + 1))).alias("weight"))
+
+
+def allotments(docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None, max_epochs: float = MAX_EPOCHS, exponent: float = EXPONENT, budget_share: float = 1.0) -> DataFrame:
+    """source, size, weight, allotted, repetitions of each source. weights: (source, weight), else size to the exponent; budget in characters, else a share of the corpus's size."""
     size = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum(F.coalesce(F.length(F.col("text").cast("string")), F.lit(0))).cast("double").alias("size"))
     if weights is None:
         weighted = size.withColumn("weight", F.sqrt("size") if exponent == 0.5 else F.pow("size", F.lit(float(exponent))))
@@ -39,7 +47,7 @@ def allotments(docs: DataFrame, weights: DataFrame | None = None, budget: float
         weighted = size.join(given, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s").withColumn("weight", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
     # one row for each source from here on
     everything = Window.partitionBy()
-    filled = weighted.withColumn("cap", F.col("size") * max_epochs).withColumn("budget", F.lit(float(budget)) if budget is not None else F.sum("size").over(everything))
+    filled = weighted.withColumn("cap", F.col("size") * max_epochs).withColumn("budget", F.lit(float(budget)) if budget is not None else F.sum("size").over(everything) * budget_share)
     live = filled.where("size > 0 and weight > 0").withColumn("ratio", F.col("cap") / F.col("weight"))
     rise = Window.orderBy("ratio", "source")
     live = live.withColumn("clamped", F.coalesce(F.sum("cap").over(rise.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
@@ -71,11 +79,11 @@ def mix(docs: DataFrame, seed: int = SEED, copy_column: str | None = None, **opt
     return out.select(*[f"`{c}`" for c in dict.fromkeys(docs.columns + ([copy_column] if copy_column else []))])
 
 
-def oracle_sql(seed: int = SEED, max_epochs: float = MAX_EPOCHS) -> str:
-    """mix() in DuckDB with weights of the root of the size and a budget of the corpus's size."""
+def oracle_sql(seed: int = SEED, max_epochs: float = MAX_EPOCHS, doublings: int = DOUBLINGS, budget_share: float = BUDGET_SHARE) -> str:
+    """mix() in DuckDB at target_weights() and a budget of that share of the corpus's size."""
     return f"""
     WITH s AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS size FROM documents GROUP BY source),
-    w AS (SELECT *, sqrt(size) AS weight, size * {max_epochs} AS cap, sum(size) OVER () AS budget FROM s),
+    w AS (SELECT *, pow(2.0::DOUBLE, ('0x' || md5(coalesce(source, ''))[1:8])::BIGINT % {doublings + 1}) AS weight, size * {max_epochs}::DOUBLE AS cap, sum(size) OVER () * {budget_share}::DOUBLE AS budget FROM s),
     l AS (SELECT *, cap / weight AS ratio FROM w WHERE size > 0),
     r AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY ratio, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS clamped,
         sum(weight) OVER (ORDER BY ratio, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM l),

@@ -11,11 +11,14 @@
 3. Band keys that hold several representatives link those whose samples agree
    often enough that a pair at the threshold is lost with a chance of ~0.1%.
    Links form coarse components (large-star, small-star rounds).
-4. Each coarse component is resolved exactly: weighted Jaccard decides, and
-   pairs already joined through others are skipped, which changes no component.
+4. Within each coarse component weighted Jaccard decides, exactly, and pairs
+   already joined through others are skipped, which changes no component.
+Bands and components of any size are compared in blocks of bounded bytes (blocks.py).
 
 A group is a connected component of pairs at THRESHOLD or more; its least
-doc_id stays. Defined cases: texts that are null or have no word are never
+doc_id stays. A pair at 0.6 shares a band with a chance of 98 %, one at 0.7 of
+99.9 %; of a group of several documents any link that joins them suffices. Very
+long texts are vectors of their own length; one is held by a task, with a block. Defined cases: texts that are null or have no word are never
 near-duplicates of anything; rows with a null doc_id are kept and not compared;
 rows that repeat a doc_id count as that one document with all its texts being
 compared, and near_dedup keeps one row of it if the texts are equal; extra columns pass
@@ -32,8 +35,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
+from inkspan.llm.blocks import links
 from inkspan.llm.components import components
-from inkspan.llm.shared import BROADCAST_BYTES, small_batches, unused, written
+from inkspan.llm.shared import BROADCAST_BYTES, kept, scratch, small_batches, unused, written
 
 SHINGLE, THRESHOLD = 2, 0.6
 BANDS, ROWS = 16, 3
@@ -43,6 +47,8 @@ FEATURES = 1 << FEATURE_BITS
 #: Partial count tables are added up in so many lanes first, so that no task reads those of all others.
 LANES = 256
 ID_BITS = 44
+#: Bytes of signatures and of vectors that are compared in one task; larger groups are compared in blocks.
+SIGNATURE_BLOCK, VECTOR_BLOCK = 1 << 20, 16 << 20
 POOL = 1 << 16
 U = np.uint64
 
@@ -189,80 +195,21 @@ def least_agreement(samples: int, threshold: float) -> int:
     return max(1, int(np.floor(samples * threshold - 3 * np.sqrt(samples * threshold * (1 - threshold)))))
 
 
-def bucket_links(ids: np.ndarray, sig: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Links (member, least member) of the components that sufficient agreement forms within a bucket; every pair is looked at unless already joined."""
-    n = len(ids)
-    order = np.argsort(ids)
-    ids, sig = ids[order], sig[order]
-    label, todo = np.full(n, -1), np.ones(n, bool)
-    out = []
-    for s in range(n):
-        if label[s] >= 0:
-            continue
-        label[s], front = s, [s]
-        todo[s] = False
-        while front:
-            x = front.pop()
-            rest = np.flatnonzero(todo)
-            if not rest.size:
-                break
-            near = rest[np.count_nonzero(sig[rest] == sig[x], axis=1) >= least]
-            label[near], todo[near] = s, False
-            front.extend(near.tolist())
-            out += [(int(ids[y]), int(ids[s])) for y in near]
-    return out
-
-
-def links(reps: DataFrame, samples: int, threshold: float) -> DataFrame:
-    """Distinct links (a, b), a > b, between representatives that share a band and agree enough."""
-    least = least_agreement(samples, threshold)
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        for b in batches:
-            found = []
-            members = b.column(0)
-            at, flat = members.offsets.to_numpy(), members.values
-            ids = flat.field("rep").to_numpy(zero_copy_only=False)
-            sigs = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint16).reshape(len(ids), samples)
-            for i in range(len(members)):
-                lo, hi = at[i], at[i + 1]
-                if hi - lo == 2:
-                    if np.count_nonzero(sigs[lo] == sigs[lo + 1]) >= least:
-                        x, y = int(ids[lo]), int(ids[lo + 1])
-                        found.append((max(x, y), min(x, y)))
-                else:
-                    found += bucket_links(ids[lo:hi], sigs[lo:hi], least)
-            found = [x for x in set(found) if x not in seen]
-            if len(seen) < 1 << 20:
-                seen.update(found)
-            yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-
-    shared = reps.select("rep", F.explode("bands").alias("key")).groupBy("key").agg(F.collect_set("rep").alias("reps")).where(F.size("reps") > 1)
-    with_sig = shared.select("key", F.explode("reps").alias("rep")).join(reps.select("rep", "sig"), "rep")
-    return with_sig.groupBy("key").agg(F.collect_list(F.struct("rep", "sig")).alias("members")).select("members").mapInArrow(link, "a long, b long").distinct()
-
-
-def resolve(ids: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> list[int]:
-    """The least id of each document's component under exact weighted Jaccard at the threshold; each pair is compared unless already joined."""
-    order = sorted(range(len(ids)), key=lambda i: ids[i])
-    label, todo = {}, order[:]
-    for s in order:
-        if s in label:
-            continue
-        label[s], front = ids[s], [s]
-        todo = [y for y in todo if y != s]
-        while front and todo:
-            x = front.pop()
-            rest = []
-            for y in todo:
-                if weighted_jaccard(vectors[x], vectors[y]) >= threshold:
-                    label[y] = ids[s]
-                    front.append(y)
-                else:
-                    rest.append(y)
-            todo = rest
-    return [label[i] for i in range(len(ids))]
+def agreeing(samples: int, least: int):
+    """Which payloads (16 bits of each sample) agree with that at a place in enough samples."""
+
+    def alike(payloads: list, x: int, rest: np.ndarray) -> np.ndarray:
+        sigs = np.frombuffer(b"".join(memoryview(payloads[i]) for i in rest), np.uint16).reshape(rest.size, samples)
+        return np.count_nonzero(sigs == np.frombuffer(payloads[x], np.uint16), axis=1) >= least
+
+    return alike
+
+
+def coarse_links(reps: DataFrame, samples: int, threshold: float, most: int = SIGNATURE_BLOCK) -> DataFrame:
+    """Links (a, b), a > b, that join all representatives that share a band and agree enough."""
+    keyed = reps.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), F.lit(2 * samples).alias("size"))
+    sigs = reps.select(F.col("rep").alias("id"), F.col("sig").alias("v"))
+    return links(keyed, lambda some: some.join(sigs, "id"), agreeing(samples, least_agreement(samples, threshold)), most, "near-coarse")
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -276,66 +223,71 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return common / (sa + sb - common) if sa + sb > 0 else 0.0
 
 
-def labelled(docs: DataFrame, candidates: DataFrame, n: int, df: np.ndarray, shingle: int, threshold: float) -> DataFrame:
-    """(doc_id, label) of every candidate (id, component): label is the least doc_id of its exact group."""
+def exact_links(docs: DataFrame, candidates: DataFrame, n: int, df: np.ndarray, shingle: int, threshold: float, most: int = VECTOR_BLOCK) -> DataFrame:
+    """Links (a, b), a > b, that join what is at the threshold within each coarse component; candidates: id, component."""
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(n, df))
     small = candidates.count() * 16 <= BROADCAST_BYTES
 
-    def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, table = Vectors(shingle), idf.value
-        for b in batches:
-            for i, j, buf, offs in K.chunks(b.column(2)):
-                doc, ids, tf = vectors(buf, offs)
-                at = np.searchsorted(doc, np.arange(j - i + 1))
-                w = (tf * table[feature(ids)]).astype(np.float32)
-                yield pa.record_batch(
-                    [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array([ids[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary()), pa.array([w[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())],
-                    names=["doc_id", "component", "ids", "w"],
-                )
+    def alike(payloads: list, x: int, rest: np.ndarray) -> np.ndarray:
+        one = unpacked(payloads[x])
+        return np.array([weighted_jaccard(one, unpacked(payloads[y])) >= threshold for y in rest])
+
+    def payload(some: DataFrame) -> DataFrame:
+        def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vectors, table = Vectors(shingle), idf.value
+            for b in batches:
+                for i, j, buf, offs in K.chunks(b.column(0)):
+                    doc, ids, tf = vectors(buf, offs)
+                    at = np.searchsorted(doc, np.arange(j - i + 1))
+                    w = (tf * table[feature(ids)]).astype(np.float32)
+                    packed = pa.array([ids[x:y].tobytes() + w[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())
+                    yield pa.record_batch([*(c.slice(i, j - i) for c in b.columns[1:]), packed], names=names)
+
+        names = [*some.columns, "v"]
+        # rows of a comparison across blocks repeat ids, so only the others are sure to be few
+        right = F.broadcast(some) if small and "side" not in some.columns else some
+        return texts.join(right, "id").select("text", *some.columns).mapInArrow(vectorise, ", ".join(f"{c} {t}" for c, t in some.dtypes) + ", v binary")
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    sized = texts.select("id", F.octet_length("text").alias("size")).join(F.broadcast(candidates) if small else candidates, "id").groupBy(F.col("component").alias("key"), "id").agg((F.sum("size") * 2).alias("size"))
+    # a document that occurs with several texts has several vectors under its id
+    return links(written(sized, "near-sized"), payload, alike, most, "near-exact")
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple[int, int]] = []
-            for members in b.column(0):
-                rows = members.as_py()
-                ids = [r["doc_id"] for r in rows]
-                out += zip(ids, resolve(ids, [(np.frombuffer(r["ids"], np.uint64), np.frombuffer(r["w"], np.float32)) for r in rows], threshold))
-            yield pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["doc_id", "label"])
 
-    right = candidates.withColumnRenamed("id", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(right) if small else right, "doc_id").select("doc_id", "component", "text")
-    vectors = texts.mapInArrow(vectorise, "doc_id long, component long, ids binary, w binary")
-    groups = vectors.groupBy("component").agg(F.collect_list(F.struct("doc_id", "ids", "w")).alias("members"))
-    return groups.select("members").mapInArrow(settle, "doc_id long, label long").groupBy("doc_id").agg(F.min("label").alias("label"))
+def unpacked(v) -> tuple[np.ndarray, np.ndarray]:
+    n = len(v) // 12
+    return np.frombuffer(v, np.uint64, n), np.frombuffer(v, np.float32, n, 8 * n)
 
 
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, keep_id) of each document that goes because keep_id, the least of its group, stays."""
     small_batches(docs.sparkSession)
-    n, df = document_frequencies(docs, shingle)
-    sigs = written(signatures(docs, n, df, shingle, bands, rows), "near-signatures")
-    exact = sigs.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    copies = sigs.select("doc_id", "d1", "d2").join(exact, ["d1", "d2"]).where("doc_id <> rep").select("doc_id", "rep")
-    reps = sigs.join(exact, ["d1", "d2"]).where("doc_id = rep").select("rep", "bands", "sig")
-    coarse = components(written(links(reps, bands * rows, threshold), "near-links"))
-    fine = written(labelled(docs, coarse, n, df, shingle, threshold), "near-labels")
-    of_copies = copies.join(fine.withColumnRenamed("doc_id", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("keep_id"))
-    return of_copies.unionByName(fine.where("doc_id <> label").select("doc_id", F.col("label").alias("keep_id"))).groupBy("doc_id").agg(F.min("keep_id").alias("keep_id"))
+    with scratch(docs.sparkSession) as made:
+        n, df = document_frequencies(docs, shingle)
+        sigs = written(signatures(docs, n, df, shingle, bands, rows), "near-signatures")
+        exact = sigs.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
+        copies = sigs.select("doc_id", "d1", "d2").join(exact, ["d1", "d2"]).where("doc_id <> rep").select("doc_id", "rep")
+        reps = sigs.join(exact, ["d1", "d2"]).where("doc_id = rep").select("rep", "bands", "sig")
+        coarse = written(components(written(coarse_links(reps, bands * rows, threshold), "near-links")), "near-coarse")
+        fine = written(components(written(exact_links(docs, coarse, n, df, shingle, threshold), "near-exact")), "near-fine").withColumnsRenamed({"id": "doc_id", "component": "label"})
+        of_copies = copies.join(fine.withColumnRenamed("doc_id", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("keep_id"))
+        groups = of_copies.unionByName(fine.where("doc_id <> label").select("doc_id", F.col("label").alias("keep_id"))).groupBy("doc_id").agg(F.min("keep_id").alias("keep_id"))
+        return kept(made, written(groups, "near-groups"))
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that stay, with all their columns: one document of each group."""
     g, n, t = unused(docs, "__gone", "__n", "__twice")
-    gone = written(near_groups(docs, **options).select(F.col("doc_id").alias(g)), "near-gone")
+    gone = near_groups(docs, **options).select(F.col("doc_id").alias(g))
     small = gone.count() * 8 <= BROADCAST_BYTES
-    kept = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id").cast("long") == F.col(g), "left_anti")
-    twice = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(F.col("doc_id").alias(t))
+    stay = docs.join(F.broadcast(gone) if small else gone, F.col("doc_id").cast("long") == F.col(g), "left_anti")
+    twice = stay.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(F.col("doc_id").alias(t))
     twice = written(twice, "near-twice")
     if twice.isEmpty():
-        return kept
+        return stay
     same = F.col("doc_id") == F.col(t)
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return stay.join(twice, same, "left_anti").unionByName(stay.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def survivors(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:

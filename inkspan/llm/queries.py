@@ -20,14 +20,19 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed corpus: every document as often as its source's repetitions say, with the copy's number."""
-    return mixing.mix(table(spark, sf_dir, "documents"), copy_column="copy")
+    """The mixed corpus at target weights and twice its size, which clamps several sources: every document as often as its source's repetitions say, with the copy's number."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, copy_column="copy", weights=mixing.target_weights(docs), budget_share=mixing.BUDGET_SHARE)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digest index after all documents were absorbed: the least doc_id of each text."""
+    """The digest index after two deliveries, one half of the sources each, and compaction: of each text the document that brought it."""
+    docs = table(spark, sf_dir, "documents")
     index = exact_dedup.DigestIndex(spark, fresh_path(spark, "digests"))
-    index.absorb(table(spark, sf_dir, "documents"))
+    first = F.substring(F.md5(F.coalesce(F.col("source").cast("string"), F.lit(""))), 1, 1) < "8"
+    index.absorb(docs.where(first))
+    index.absorb(docs.where(~first))
+    index.compact()
     return index.table().select("doc_id", F.lower(F.hex("digest")).alias("digest"))
 
 
@@ -65,7 +70,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_decontam, op2_langid, op3_mixing, op4_exact_dedup, op5_warc, op6_chat, op7_lm_score, op8_near_dedup, op9_url_filter, op10_sharding)}
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
-    "op4_exact_dedup": "SELECT min(doc_id) AS doc_id, sha256(coalesce(text, '')) AS digest FROM documents GROUP BY sha256(coalesce(text, ''))",
+    "op4_exact_dedup": """
+        WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS digest, CASE WHEN md5(coalesce(source, ''))[1:1] < '8' THEN 0 ELSE 1 END AS delivery FROM documents),
+        k AS (SELECT digest, delivery, min(doc_id) AS doc_id FROM d GROUP BY ALL)
+        SELECT arg_min(doc_id, delivery) AS doc_id, digest FROM k GROUP BY digest""",
     "op5_warc": """
         WITH r AS (SELECT DISTINCT page_id, replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS uri, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS n FROM pages),
         k AS (SELECT *, md5(coalesce(page_id::VARCHAR, '') || '|' || uri || '|' || digest) AS key FROM r),

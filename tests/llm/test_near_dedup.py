@@ -94,3 +94,40 @@ def test_empty_tables(spark, make_docs):
     assert N.near_dedup(make_docs([])).count() == 0
     assert N.survivors(spark, make_docs([])).count() == 0
     assert N.near_dedup(make_docs([(1, None), (2, "")])).count() == 2
+
+
+def test_blocks_of_any_size_find_the_same_groups(spark, rng, make_docs, monkeypatch):
+    """Groups that take many blocks: near copies that join at once, and a chain whose members agree with few others."""
+    base = prose(rng, 80)
+    docs = [(i, spoiled(rng, base, 0.05)) for i in range(120)]
+    words = prose(rng, 500).split()
+    docs += [(1000 + i, " ".join(words[4 * i : 4 * i + 40])) for i in range(100)] + [(5000 + i, prose(rng, 30)) for i in range(50)]
+    frame = make_docs(docs)
+    n, df = N.document_frequencies(frame)
+    want, near = brute(docs)
+    one = frame.selectExpr("doc_id as id", "cast(0 as bigint) as component")
+    for most in (1 << 20, 3000):
+        from inkspan.llm.components import components
+
+        got = {r.id: r.component for r in components(N.exact_links(frame, one, n, df, N.SHINGLE, N.THRESHOLD, most)).collect()}
+        assert {d: got.get(d, d) for d, _ in docs} == want, most
+    assert len({want[1000 + i] for i in range(100)}) < 60
+    monkeypatch.setattr(N, "SIGNATURE_BLOCK", 400)
+    monkeypatch.setattr(N.coarse_links, "__defaults__", (400,))
+    monkeypatch.setattr(N.exact_links, "__defaults__", (3000,))
+    small = {r.doc_id: r.keep_id for r in N.near_groups(frame).collect()}
+    monkeypatch.undo()
+    assert small == {r.doc_id: r.keep_id for r in N.near_groups(frame).collect()}
+    assert all(want[d] == want[k] for d, k in small.items()) and len(small) >= 0.95 * sum(want[d] != d for d, _ in docs)
+
+
+def test_intermediate_tables_go(spark, make_docs, rng, tmp_path):
+    import os
+
+    from inkspan.llm.shared import shared_dir
+
+    at = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(at)) if os.path.exists(at) else set()
+    base = prose(rng, 50)
+    assert N.near_groups(make_docs([(1, base), (2, base + " x"), (3, prose(rng, 50))])).count() == 1
+    assert [x.split("-")[1] for x in set(os.listdir(at)) - before] == ["groups"]

@@ -68,7 +68,8 @@ def test_index_over_sessions_and_batches(spark, make_docs, tmp_path):
     first.absorb(make_docs([(5, "a"), (3, "a"), (9, "b"), (None, "c"), (7, None), (8, "")], CLASHING))
     assert {r.doc_id for r in first.table().collect()} == {3, 9, None, 7}
     spark.sql(f"DROP TABLE {first.name}")
-    again = exact_dedup.DigestIndex(spark, path, 4)
+    again = exact_dedup.DigestIndex(spark, path, 64)
+    assert again.buckets == 4
     fresh = again.fresh(make_docs([(1, "a"), (20, "d"), (21, "d"), (22, "b"), (23, "x" * 3_000_000)]))
     assert {r.doc_id for r in fresh.collect()} == {20, 23}
     plan = fresh._jdf.queryExecution().executedPlan().toString()
@@ -78,6 +79,38 @@ def test_index_over_sessions_and_batches(spark, make_docs, tmp_path):
     assert [bytes(r.digest) for r in again.table().where("doc_id = 20").collect()] == [hashlib.sha256(b"d").digest()]
 
 
+def test_index_compacts_and_locks(spark, make_docs, tmp_path):
+    index = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index", 4)
+    for k in range(3):
+        index.absorb(make_docs([(10 * k + i, f"t{k + i}") for i in range(5)]))
+    before = sorted(map(tuple, index.table().collect()))
+    index.compact(8)
+    assert sorted(map(tuple, index.table().collect())) == before and len(before) == 7
+    again = exact_dedup.DigestIndex(spark, f"file://{tmp_path}/index")
+    assert (again.generation, again.buckets) == (1, 8) and len([p for p in tmp_path.glob("index/generation-*")]) == 1
+    again.absorb(make_docs([(99, "t0"), (98, "new")]))
+    assert again.table().count() == 8
+    with again._writing(), pytest.raises(RuntimeError, match="another writer"):
+        index.absorb(make_docs([(1, "z")]))
+    open(f"{tmp_path}/index/_lock", "w").close()
+    with pytest.raises(RuntimeError):
+        again.absorb(make_docs([(1, "z")]))
+    again.unlock()
+    again.absorb(make_docs([(1, "z")]))
+
+
+def test_mix_clamps_at_skewed_targets(spark, make_docs):
+    docs = make_docs([(i, "x" * (1 + i % 50), "en", f"s{i % 13}") for i in range(1300)])
+    weights = {r.source: r.weight for r in mixing.target_weights(docs).collect()}
+    plan = {r.source: r for r in mixing.allotments(docs, mixing.target_weights(docs), budget_share=mixing.BUDGET_SHARE).collect()}
+    sizes = {s: r.size for s, r in plan.items()}
+    want = water(sizes, weights, mixing.BUDGET_SHARE * sum(sizes.values()), mixing.MAX_EPOCHS)
+    assert {s: r.allotted for s, r in plan.items()} == pytest.approx(want, rel=1e-9)
+    assert sum(r.repetitions == mixing.MAX_EPOCHS for r in plan.values()) >= 2 and sum(r.repetitions < 1 for r in plan.values()) >= 2
+    n = Counter(r.source for r in mixing.mix(docs, weights=mixing.target_weights(docs), budget_share=mixing.BUDGET_SHARE).collect())
+    assert all(n[s] == 400 for s, r in plan.items() if r.repetitions == 4.0)
+
+
 CHATS = "conv_id long, turn long, role string, text string"
 
 
@@ -114,13 +147,16 @@ def glob_regex(glob):
     return re.compile(b"".join(b".*" if c == 42 else b"." if c == 63 else re.escape(bytes([c])) for c in glob.encode()), re.S)
 
 
-def test_automaton_against_regular_expressions(rng):
+def test_automaton_against_regular_expressions(rng, monkeypatch):
     import numpy as np
 
     globs = ["".join(rng.choice("ab*?/") for _ in range(rng.randrange(0, 30))) for _ in range(40)] + ["*" * 70, "a" * 130 + "*", "", "é?"]
     texts = ["".join(rng.choice("ab/é") for _ in range(rng.randrange(0, 12))) for _ in range(200)] + ["a" * 131, "", "éa"]
     raw = [t.encode() for t in texts]
-    hits = url_filter.Automaton(globs).match(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64))
+    monkeypatch.setattr(url_filter, "STATE_WORDS", 500)
+    parts = list(url_filter.Automaton(globs).match(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)))
+    assert len(parts) > 3 and [lo for lo, _ in parts] == np.cumsum([0, *(len(h) for _, h in parts)])[:-1].tolist()
+    hits = np.concatenate([h for _, h in parts])
     for j, g in enumerate(globs):
         r = glob_regex(g)
         assert [bool(x) for x in hits[:, j]] == [bool(r.fullmatch(t)) for t in raw], g
@@ -133,14 +169,38 @@ def test_url_odd_cases(spark):
     got = {(r.page_id, r.canonical_url): (r.rule, r.allowed) for r in url_filter.judge(df).collect()}
     assert got[1, ""] == got[2, ""] == (None, True)
     assert (3, "https://www.a.com/Path//?q=2") in got or (3, "https://www.a.com/Path/?q=2") in got
-    assert got[None, "https://m.x.com"][1] is False
-    assert (6, "http://b.org") in got
+    assert got[None, "https://m.x.com/"][1] is False
+    assert (6, "http://b.org/") in got
     kept = url_filter.url_filter(df)
     assert kept.columns == df.columns and kept.count() == 6
     assert url_filter.url_filter(df, []).count() == 7 and {r.allowed for r in url_filter.judge(df, []).collect()} == {True}
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_canonical_urls(spark):
+    want = {"https://blog.foo.com/": "https://blog.foo.com/", "https://blog.foo.com": "https://blog.foo.com/", "HTTP://A.b:80": "http://a.b/", "http://a.b:443/x/": "http://a.b:443/x", "https://a.b:443/x//": "https://a.b/x", "https://a.b:80": "https://a.b:80/",
+        "https://a.b?ref=1": "https://a.b/", "https://a.b?x=1/": "https://a.b/?x=1/", "https://a.b/c/?x=1": "https://a.b/c/?x=1", "https://a.b//": "https://a.b/", "a/b/": "a/b", "\t https://a.b/#x ": "https://a.b/", "https://a.b/?utm_x=1&y=/2/&ref=3": "https://a.b/?y=/2/"}
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(want)], "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(df).collect()}
+    assert {u: got[i].canonical_url for i, u in enumerate(want)} == want
+    # root URLs fall under host/* rules
+    assert all(got[i].rule == 3 and not got[i].allowed for i in (0, 1))
+
+
+def test_many_rules_and_rule_files(spark, tmp_path, rng):
+    (tmp_path / "rules.txt").write_text("# rules\n+ https://ok.com/*\n\n- *://*.bad.com/*\n")
+    rules = url_filter.read_rules(spark, f"file://{tmp_path}/rules.txt")
+    assert rules == [("https://ok.com/*", True), ("*://*.bad.com/*", False)]
+    for bad in ("* x", "-"):
+        with pytest.raises(ValueError):
+            url_filter.parse_rules([bad])
+    many = [(f"https://h{k}.com/*", k % 2 == 0) for k in range(3000)] + [("https://h7.com/a*", True)]
+    df = spark.createDataFrame([(i, f"https://h{i}.com/a") for i in range(200)], "page_id long, url string")
+    got = {r.page_id: (r.matched, r.rule, r.allowed) for r in url_filter.judge(df, many).collect()}
+    assert all(got[i] == (f"{i + 1},3001" if i == 7 else str(i + 1), i + 1, i % 2 == 0) for i in range(200))
+    assert url_filter.url_filter(df, many).count() == 100
+
+
 def test_table_is_even_stable_and_minimal():
     a, b = shards.fill(shards.names(10), 1009), shards.fill(shards.names(10)[:9], 1009)
     n = Counter(a.tolist())

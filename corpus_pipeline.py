@@ -2,7 +2,9 @@
 
 Each stage takes all rows that the one before kept and returns the columns of
 documents; the last adds the shard. run() writes each stage's rows to the shared
-folder and reads them again, so a lost executor costs one stage's tasks at most.
+folder and reads them again, so a lost executor costs one stage's tasks at most,
+and then deletes what the stage itself wrote there and the rows of the stage
+before. The result reads the last stage's rows, which stay.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from inkspan.llm import decontam, langid, mixing, near_dedup, shards
-from inkspan.llm.shared import table, written
+from inkspan.llm.shared import forget, kept, scratch, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,8 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents as their source's share of the mixture says."""
-    return mixing.mix(docs)
+    """Repeats documents as the target weights say, sources at four epochs at most."""
+    return mixing.mix(docs, weights=mixing.target_weights(docs), budget_share=mixing.BUDGET_SHARE)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +46,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, "stage")
-    return docs
+    docs, last = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        with scratch(spark) as made:
+            docs = kept(made, written(stage(spark, docs, sf_dir), "stage"))
+        if last:
+            forget(spark, last)
+        last = docs._inkspan_path
+    return STAGES[-1][1](spark, docs, sf_dir)

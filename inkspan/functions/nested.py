@@ -61,7 +61,7 @@ def _objects(text: str) -> Iterator[dict]:
     while (at := text.find("{", at + 1)) >= 0:
         try:
             value = read.raw_decode(text, at)[0]
-        except ValueError:
+        except (ValueError, RecursionError):
             continue
         if isinstance(value, dict):
             yield value
@@ -75,7 +75,7 @@ def loose_object(text: str | None) -> str | None:
     try:
         whole = json.loads(t)
         return json.dumps(whole, ensure_ascii=False) if isinstance(whole, dict) else None
-    except ValueError:
+    except (ValueError, RecursionError):
         found = list(_objects(t))
     good = [x for x in found if "text" in x or {"verdict", "corrected_text"}.issubset(x)]
     best = (good or found or [None])[-1]
@@ -102,19 +102,21 @@ def as_list(c: Column, separator: str = ">") -> Column:
 @F.pandas_udf(StringType())
 def _search(payload: pd.Series, key: pd.Series) -> pd.Series:
     def walk(value, wanted):
-        if isinstance(value, dict):
-            if isinstance(value.get(wanted), list) and value[wanted]:
-                return value[wanted]
-            value = list(value.values())
-        for x in value if isinstance(value, list) else []:
-            if (hit := walk(x, wanted)) is not None:
-                return hit
+        stack = [value]
+        while stack:
+            value = stack.pop()
+            if isinstance(value, dict):
+                if isinstance(value.get(wanted), list) and value[wanted]:
+                    return value[wanted]
+                value = list(value.values())
+            if isinstance(value, list):
+                stack.extend(reversed(value))
         return None
 
     def one(text, wanted):
         try:
             hit = walk(json.loads(text), wanted)
-        except (TypeError, ValueError):
+        except (TypeError, ValueError, RecursionError):  # deeper than the parser goes
             return None
         return None if hit is None else json.dumps(hit, ensure_ascii=False)
 

@@ -8,7 +8,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
@@ -28,9 +28,13 @@ def first_filled(*cs: Column) -> Column:
     return F.coalesce(*[nz(c) for c in cs], F.lit(""))
 
 
+#: All white space of Unicode.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without white space, of any script, at either end."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space, of any script, at either end. (A pattern for this would try every run of white space within.)"""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def squash(c: Column) -> Column:
@@ -119,11 +123,14 @@ def filled_lines(c: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), LINE_BREAK), strip), lambda x: x != "")
 
 
-def transcript_quality(c: Column) -> Column:
-    """Struct of counts and ratios of a transcript, and whether it is suspect."""
-    t = tidy(F.coalesce(c, F.lit("")))
+def transcript_quality(df: DataFrame, text: str, name: str = "quality") -> DataFrame:
+    """df with a struct of counts and ratios of a transcript, and whether it is suspect. The tidy text and its lines are made once, in projections of their own."""
+    made = df.withColumn("__t", tidy(F.coalesce(F.col(text), F.lit("")))).withColumn("__lines", filled_lines(F.col("__t")))
+    return made.withColumn(name, _quality(F.col("__t"), F.col("__lines"))).drop("__t", "__lines")
+
+
+def _quality(t: Column, lines: Column) -> Column:
     chars, spaces, hangul = F.length(t), count_of(t, r"(?U)\s"), count_of(t, "[가-힣]")
-    lines = filled_lines(t)
     repeated = F.coalesce(1 - F.size(F.array_distinct(lines)) / F.nullif(F.size(lines), F.lit(0)), F.lit(0.0))
     share = hangul / F.greatest(F.lit(1), chars - spaces)
     lost, cids = count_of(t, "�"), count_of(t, r"\(cid:")

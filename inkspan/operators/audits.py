@@ -11,8 +11,10 @@ from inkspan.operators.items import best_of, download_keys, expected_path, have,
 
 
 def gap(listed: DataFrame, saved: DataFrame, key: str = "id") -> DataFrame:
-    """Listed rows, one for each key, whose key isn't saved."""
-    return listed.dropDuplicates([key]).join(saved.select(key).distinct(), key, "left_anti")
+    """Listed rows whose key isn't saved, one for each key: of several the one that is least as JSON."""
+    row = F.struct(*[F.col(f"`{c}`") for c in listed.columns])
+    one = listed.groupBy(F.col(key).alias("__key")).agg(F.min_by(row, F.to_json(row)).alias("__row"))
+    return one.join(saved.select(F.col(key).alias("__key")).distinct(), "__key", "left_anti").select("__row.*")
 
 
 def gap_manifest(missing: DataFrame, source: str, reason: str, **extra: Column) -> DataFrame:
@@ -151,10 +153,18 @@ def failure_log(rows: DataFrame) -> DataFrame:
     return keyed.where("outcome = 'failed'").select(F.col("id").alias("item_id"), "error", have(rows, "viewer_path").alias("viewer_path"), "content_id", "toc_id", have(rows, "date").alias("date"), have(rows, "title").alias("title"), "failed_at")
 
 
+#: Rows of a side that is broadcast for a grid; a larger one is left to Spark.
+GRID_ROWS = 200_000
+
+
+def _small(side: DataFrame) -> DataFrame:
+    return F.broadcast(side) if side.limit(GRID_ROWS + 1).count() <= GRID_ROWS else side
+
+
 def combinations(years: DataFrame, institutions: DataFrame, done: DataFrame) -> DataFrame:
     """Each year with no institution and with each one, without what is done (year, institution; null for none)."""
     all_ = institutions.select("institution").unionByName(institutions.sparkSession.createDataFrame([(None,)], "institution string"))
-    grid = years.crossJoin(F.broadcast(all_))
+    grid = years.crossJoin(_small(all_))
     return grid.join(done.distinct(), (grid["year"] == done["year"]) & grid["institution"].eqNullSafe(done["institution"]), "left_anti")
 
 
@@ -166,7 +176,7 @@ def first_ok(attempts: DataFrame, key: str, ordinal: str, ok: str = "ok") -> Dat
 def presence(items: DataFrame, sources: DataFrame, categories: DataFrame) -> DataFrame:
     """(source, category, items, present) over the grid of all sources and categories."""
     n = items.groupBy("source", "category").agg(F.count(F.lit(1)).alias("items"))
-    return sources.crossJoin(F.broadcast(categories)).join(n, ["source", "category"], "left").select("source", "category", F.coalesce("items", F.lit(0)).cast("bigint").alias("items"), F.col("items").isNotNull().alias("present"))
+    return sources.crossJoin(_small(categories)).join(n, ["source", "category"], "left").select("source", "category", F.coalesce("items", F.lit(0)).cast("bigint").alias("items"), F.col("items").isNotNull().alias("present"))
 
 
 def resume_done(mode: Column, state_done: Column, pdf_complete: Column, status: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from inkspan.functions.dates import inferred_validity, validity
 from inkspan.functions.numbers import admin_code, admin_level, place_confidence
 from inkspan.functions.text import fold_key, nz, squash
+from inkspan.operators.reports import exact_mean
+from inkspan.sources.shared_tables import stored
 
 LEAST_KEY, MOST_MENTIONS = 3, 8
 #: A dictionary of up to so many rows is broadcast; a larger one is joined by shuffle.
@@ -70,12 +72,18 @@ def usable(rows: DataFrame) -> DataFrame:
     return rows.where((F.col("key") != "") & ((F.length("key") >= LEAST_KEY) | (F.col("match_level") == "sido")))
 
 
-def spans(texts: DataFrame, keys: DataFrame) -> DataFrame:
+def facts(keys: DataFrame) -> tuple[int, list[int]]:
+    """(rows, lengths of keys) of a dictionary: all that a plan must know of it, by one small aggregate."""
+    r = keys.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(F.length("key"))).alias("lengths")).first()
+    return r["n"], r["lengths"]
+
+
+def spans(texts: DataFrame, keys: DataFrame, known: tuple[int, list[int]] | None = None) -> DataFrame:
     """(text, start, end, key) of the dictionary keys in distinct short texts (text, folded): the longest at each start, without those within a longer one."""
+    rows, lengths = known or facts(keys)
     small = keys.select("key").distinct()
-    if small.count() <= BROADCAST_ROWS:
+    if rows <= BROADCAST_ROWS:
         small = F.broadcast(small)
-    lengths = [r[0] for r in keys.select(F.length("key").alias("n")).distinct().orderBy("n").collect()]
     if not lengths:
         return texts.select("text", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("key")).limit(0)
     starts = texts.where(F.length("folded") >= lengths[0]).withColumn("start", F.explode(F.sequence(F.lit(0), F.length("folded") - lengths[0])))
@@ -87,28 +95,80 @@ def spans(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return reach.where("__reach is null or end > __reach").select("text", "start", "end", "key")
 
 
+PLACE = ("display_name", "match_level", "admin_code", "admin_name", "active", "valid_from", "valid_to", "lon", "lat", "base_confidence", "candidate_count", "preference")
+
+
+def candidates(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """(text, starts) of distinct texts: for each mention in it, in order, its place and the dictionary's candidates for it. preference: their order where confidence is equal."""
+    known = facts(places)
+    better = Window.partitionBy("key").orderBy(F.desc(F.col("match_level") == "sido"), F.desc(F.coalesce("active", F.lit(False))), F.desc(F.length("admin_name")), "ins_ord")
+    counted = places.withColumns({"candidate_count": F.count(F.lit(1)).over(Window.partitionBy("key")), "preference": -F.row_number().over(better)}).select("key", F.struct(*PLACE).alias("place"))
+    found = spans(texts.withColumn("folded", fold_key(F.col("text"))), places, known).join(F.broadcast(counted) if known[0] <= BROADCAST_ROWS else counted, "key")
+    versioned = F.col("place.valid_from").isNotNull() | F.col("place.valid_to").isNotNull()
+    score = lambda relation: place_confidence(F.col("place.base_confidence"), relation, F.col("place.active"), F.col("place.lon").isNotNull() & F.col("place.lat").isNotNull(), F.col("end") - F.col("start"), F.col("place.candidate_count"))
+    # all that a date can change is whether it is there and lies within the validity, so its scores are known here
+    place = F.col("place").withField("within", score(F.when(versioned, "in_validity").otherwise("not_versioned"))).withField("outside", score(F.lit("before_validity"))).withField("undated", score(F.lit("unknown")))
+    each = found.withColumn("place", place).groupBy("text", "start", "end", "key").agg(F.collect_list("place").alias("places"))
+    return each.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("start", "end", "key", "places"))).alias("starts"))
+
+
+def _mention(s: Column, field: str, ord_: int, date: Column) -> Column:
+    """A mention's best candidate at a date."""
+
+    def scored(p: Column) -> Column:
+        outside = F.coalesce(date < p["valid_from"], F.lit(False)) | F.coalesce(date > p["valid_to"], F.lit(False))
+        return F.struct(F.when(date.isNull(), p["undated"]).when(outside, p["outside"]).otherwise(p["within"]).alias("raw"), p["preference"].alias("preference"), p.alias("place"))
+
+    best = F.array_max(F.transform(s["places"], scored))
+    return F.transform(F.array(best), lambda b: F.struct(F.lit(field).alias("field"), F.lit(ord_).alias("ord"), s["start"].alias("start"), s["end"].alias("end"), s["key"].alias("key"), F.round(b["raw"], 4).alias("confidence"), validity(date, b["place"]["valid_from"], b["place"]["valid_to"]).alias("temporal_relation"), *[b["place"][c].alias(c) for c in PLACE if c != "preference"]))[0]
+
+
+def _mentions(starts: str, field: str, ord_: int, date: Column) -> Column:
+    return F.transform(starts, lambda s: _mention(s, field, ord_, date))
+
+
+def _first_of_place(found: str) -> Column:
+    """Mentions without those of a key and place that came before."""
+    place = lambda m: F.coalesce(nz(m["admin_code"]), m["admin_name"])
+    same = lambda x, y: (x["key"] == y["key"]) & place(x).eqNullSafe(place(y))
+    return F.filter(found, lambda x, k: ~F.exists(F.slice(found, F.lit(1), k), lambda y: same(x, y)))
+
+
+def annotated(items: DataFrame, places: DataFrame, most: int = MOST_MENTIONS, fields: tuple[str, ...] = ("title", "agency")) -> DataFrame:
+    """items (publication_date, fields) with found: their best mentions in order, one for each field, key and place, the most confident first.
+
+    Texts repeat, so each distinct one is matched once, with the candidates of all its mentions as one row; items look their texts up and choose by date, within the row."""
+    texts = items.select(F.explode(F.array(*fields)).alias("text")).where("text <> ''").distinct()
+    known = stored(candidates(texts, places), "candidates")
+    out, each = items, []
+    for i, field in enumerate(fields):
+        looked = known.select(F.col("text").alias(f"__t{i}"), F.col("starts").alias(f"__s{i}"))
+        out = out.join(looked, F.col(field) == F.col(f"__t{i}"), "left")
+        out = out.withColumn(f"__m{i}", _mentions(f"__s{i}", field, i, F.col("publication_date")))
+        each.append(F.coalesce(_first_of_place(f"__m{i}"), F.from_json(F.lit("[]"), F.lit(MENTIONS))))
+    order = lambda m: F.struct((-m["confidence"]).alias("c"), (m["start"] - m["end"]).alias("n"), m["ord"].alias("o"), m["start"].alias("s"), m.alias("m"))
+    ranked = F.transform(F.slice(F.array_sort(F.transform(F.concat(*each), order)), 1, most), lambda x, i: x["m"].withField("rank", i + 1))
+    return out.withColumn("found", ranked).select(*items.columns, "found")
+
+
+MENTIONS = "array<struct<field:string,ord:int,start:int,end:int,key:string,confidence:double,temporal_relation:string,display_name:string,match_level:string,admin_code:string,admin_name:string,active:boolean,valid_from:date,valid_to:date,lon:double,lat:double,base_confidence:double,candidate_count:bigint>>"
+
+
+def exploded(found: DataFrame, *columns: str) -> DataFrame:
+    """annotated() as a row for each mention, with these columns of its item."""
+    return found.select(*columns, F.explode("found").alias("m")).select(*columns, "m.*").drop("ord")
+
+
 def mentions(items: DataFrame, places: DataFrame, most: int = MOST_MENTIONS, fields: tuple[str, ...] = ("title", "agency")) -> DataFrame:
-    """The best mentions of each item (item_key, publication_date, fields): scored, one for each field, key and place, the most confident first.
-
-    Titles repeat, so distinct texts are matched, each text with each date is scored once, and items are joined at the end."""
-    long = items.select("item_key", "publication_date", F.explode(F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(f).alias("field"), F.col(f).alias("text")) for i, f in enumerate(fields)])).alias("f")).select("item_key", "publication_date", "f.*").where("text <> ''")
-    texts = long.select("text").distinct().withColumn("folded", fold_key(F.col("text")))
-    found = spans(texts, places)
-    dated = long.select("text", "publication_date").distinct().join(found, "text")
-    counted = places.withColumn("candidate_count", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    small = places.count() <= BROADCAST_ROWS
-    scored = dated.join(F.broadcast(counted) if small else counted, "key")
-    relation = validity(F.col("publication_date"), F.col("valid_from"), F.col("valid_to"))
-    scored = scored.withColumn("temporal_relation", relation)
-    scored = scored.withColumn("raw", place_confidence(F.col("base_confidence"), F.col("temporal_relation"), F.col("active"), F.col("lon").isNotNull() & F.col("lat").isNotNull(), F.col("end") - F.col("start"), F.col("candidate_count")))
-    best = Window.partitionBy("text", "publication_date", "start").orderBy(F.desc("raw"), F.desc(F.col("match_level") == "sido"), F.desc(F.coalesce("active", F.lit(False))), F.desc(F.length("admin_name")), "ins_ord")
-    one = scored.withColumn("__n", F.row_number().over(best)).where("__n = 1").drop("__n").withColumn("confidence", F.round("raw", 4)).drop("raw")
-    same = Window.partitionBy("text", "publication_date", "key", F.coalesce(nz(F.col("admin_code")), F.col("admin_name"))).orderBy("start")
-    one = one.withColumn("__n", F.row_number().over(same)).where("__n = 1").drop("__n")
-    one = one.withColumnsRenamed({"text": "__text", "publication_date": "__date"})
-    joined = long.join(one, (F.col("text") == F.col("__text")) & F.col("publication_date").eqNullSafe(F.col("__date"))).drop("text", "__text", "__date")
-    rank = Window.partitionBy("item_key").orderBy(F.desc("confidence"), F.desc(F.col("end") - F.col("start")), "ord", "start")
-    return joined.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= most).drop("ord")
+    """The best mentions of each item (item_key, publication_date, fields), a row each, with its rank."""
+    return exploded(annotated(items, places, most, fields), "item_key", "publication_date")
+
+
+def geocoded(found: DataFrame) -> DataFrame:
+    """annotated() with the number of mentions, the best place, and all mentions as JSON: item_geocodes() without grouping."""
+    best, each = F.get("found", F.lit(0)), F.transform("found", lambda m: F.struct(*[m[c].alias(c) for c in ("rank", "field", "key", "start", "end", "confidence", "display_name", "admin_code", "match_level", "temporal_relation", "candidate_count")]))
+    n = F.size("found")
+    return found.select(*[c for c in found.columns if c != "found"], F.when(n > 0, "matched").otherwise("no_place_mention").alias("geocode_status"), n.cast("bigint").alias("mention_count"), F.coalesce(best["admin_code"], F.lit("")).alias("best_admin_code"), F.coalesce(best["display_name"], F.lit("")).alias("best_place_name"), best["confidence"].alias("best_confidence"), F.when(n > 0, F.to_json(each)).alias("geocode_json"))
 
 
 def item_geocodes(items: DataFrame, found: DataFrame) -> DataFrame:
@@ -121,11 +181,11 @@ def item_geocodes(items: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def year_summary(geocoded: DataFrame) -> DataFrame:
-    return geocoded.groupBy("source_key", "year").agg(F.count(F.lit(1)).alias("item_count"), F.count_if(F.col("geocode_status") == "matched").alias("geocoded_item_count"), F.sum(F.coalesce("mention_count", F.lit(0))).alias("mention_count"), F.round(F.avg("best_confidence"), 4).alias("avg_best_confidence"))
+    return geocoded.groupBy("source_key", "year").agg(F.count(F.lit(1)).alias("item_count"), F.count_if(F.col("geocode_status") == "matched").alias("geocoded_item_count"), F.sum(F.coalesce("mention_count", F.lit(0))).alias("mention_count"), exact_mean(F.col("best_confidence"), 4).alias("avg_best_confidence"))
 
 
 def place_year_summary(found: DataFrame) -> DataFrame:
-    return found.groupBy("source_key", "year", "admin_code", "admin_name", "match_level").agg(F.count(F.lit(1)).alias("mention_count"), F.countDistinct("item_key").alias("item_count"), F.round(F.avg("confidence"), 4).alias("avg_confidence"))
+    return found.groupBy("source_key", "year", "admin_code", "admin_name", "match_level").agg(F.count(F.lit(1)).alias("mention_count"), F.countDistinct("item_key").alias("item_count"), exact_mean(F.col("confidence"), 4).alias("avg_confidence"))
 
 
 def match_offline(addresses: DataFrame, places: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkspan.functions.numbers import box, overlap, ratio
+from inkspan.functions.numbers import overlap, ratio
 from inkspan.functions.text import form_score, readability, squash
 
 GAP, LEAST_CLUSTER, LEAST_WORDS, MOST_COLUMNS, SPARSE, SAME = 80.0, 4, 8, 4, 30, 0.9
@@ -112,7 +112,3 @@ def strategies(name: str, settings: dict | None = None) -> list[tuple[str, dict]
     near = dict.fromkeys(("snap_tolerance", "join_tolerance", "intersection_tolerance"), 3)
     loose = {"min_words_vertical": 3, "min_words_horizontal": 1, "text_tolerance": 3}
     return [(s, {f"{way}_strategy": s for way in ("vertical", "horizontal")} | near | (loose if s == "text" else {})) for s in known[name]]
-
-
-def boxes(parts: Column) -> Column:
-    return box(parts)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkspan.functions import text as T
 from inkspan.functions.nested import json_object
 from inkspan.functions.numbers import unit
+from inkspan.operators.queues import ordinal
 
 PREFERENCE = {"image_ocr": 1, "pdf_text": 2, "markitdown": 3}
 ACCEPT, REVISE, REJECT = 0.75, 0.8, 0.85
@@ -166,8 +167,7 @@ def update_reason(json_error: Column, pdf_status: Column, path: Column, current:
 
 def eligible(df: DataFrame, reason: Column, order: str, most: int | None = None) -> DataFrame:
     """Rows with reason and, where that is null, the rank among the eligible; picked up to most, if given."""
-    from pyspark.sql import Window
-
-    ranked = df.withColumn("reason", reason)
-    rank = F.when(F.col("reason").isNull(), F.row_number().over(Window.partitionBy(F.col("reason").isNull()).orderBy(order)))
-    return ranked.withColumn("rank", rank).withColumn("picked", F.col("rank").isNotNull() & ((F.col("rank") <= most) if most else F.lit(True)))
+    judged = df.withColumn("reason", reason)
+    good = ordinal(judged.where("reason is null"), order).withColumnRenamed("ordinal", "rank")
+    ranked = good.unionByName(judged.where("reason is not null").withColumn("rank", F.lit(None).cast("bigint")))
+    return ranked.withColumn("picked", F.col("rank").isNotNull() & ((F.col("rank") <= most) if most else F.lit(True)))

@@ -40,15 +40,21 @@ def samples(df: DataFrame, key: str, order: str, most: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("rank") <= most)
 
 
+def exact_mean(c: Column, places: int, digits: int = 6) -> Column:
+    """The mean to so many places, half up, whatever order rows come in: values are taken to `digits` places and added up as integers."""
+    n, total, unit = F.count(c), F.sum(F.round(c * 10**digits).cast("bigint")), 10 ** (digits - places)
+    return F.call_function("div", total * 2 + n * unit, F.nullif(n * (2 * unit), F.lit(0))) / 10**places
+
+
 def benchmark_summary(records: DataFrame, elapsed: float, *keys: str) -> DataFrame:
     """Requests by keys: counts by status, rates, latencies (zeros don't count) and qualities (of ok rows)."""
     ok = F.col("status") == "ok"
     lat = F.when(F.col("latency") != 0, F.col("latency"))
-    of_ok = lambda c, n: F.round(F.coalesce(F.avg(F.when(ok, F.col(c))), F.lit(0.0)), n)
+    of_ok = lambda c, n: F.coalesce(exact_mean(F.when(ok, F.col(c)), n), F.lit(0.0))
     return records.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("requests"), F.count_if(ok).alias("ok"), F.count_if(F.col("status") == "empty").alias("empty"), F.count_if(F.col("status") == "error").alias("errors"),
-        F.round(F.count(F.lit(1)) / F.lit(float(elapsed)) * 60, 3).alias("pages_per_min"), F.round(F.coalesce(F.avg(lat), F.lit(0.0)), 3).alias("latency_avg"), F.round(F.coalesce(F.percentile(lat, 0.5), F.lit(0.0)), 3).alias("latency_p50"), F.round(F.coalesce(F.percentile(lat, 0.9), F.lit(0.0)), 3).alias("latency_p90"),
-        of_ok("chars", 1).alias("chars_avg"), of_ok("confidence", 3).alias("confidence_avg"), F.round(F.avg(F.when(ok, F.col("cer"))), 6).alias("cer_avg"),
+        F.round(F.count(F.lit(1)) / F.lit(float(elapsed)) * 60, 3).alias("pages_per_min"), F.coalesce(exact_mean(lat, 3), F.lit(0.0)).alias("latency_avg"), F.round(F.coalesce(F.percentile(lat, 0.5), F.lit(0.0)), 3).alias("latency_p50"), F.round(F.coalesce(F.percentile(lat, 0.9), F.lit(0.0)), 3).alias("latency_p90"),
+        of_ok("chars", 1).alias("chars_avg"), of_ok("confidence", 3).alias("confidence_avg"), exact_mean(F.when(ok, F.col("cer")), 6, 9).alias("cer_avg"),
     )
 
 

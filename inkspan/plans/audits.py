@@ -92,7 +92,7 @@ def year_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT y.year, i.institution FROM y, i WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.year = y.year AND d.institution IS NOT DISTINCT FROM i.institution)""")
 def combo_cross_minus_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    places = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey")).join(F.broadcast(table(spark, sf_dir, "region").where("r_regionkey % 2 = 0")), F.col("r_regionkey") == F.col("n_regionkey"))
+    places = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).join(table(spark, sf_dir, "region").where("r_regionkey % 2 = 0"), F.col("r_regionkey") == F.col("n_regionkey"))
     done = orders.where("o_orderstatus = 'F'").join(places, F.col("c_custkey") == F.col("o_custkey")).select("year", F.col("r_name").alias("institution"))
     return A.combinations(orders.select("year").distinct(), table(spark, sf_dir, "region").select(F.col("r_name").alias("institution")), done)
 

@@ -22,8 +22,8 @@ SQL_PAGES = rf"""p AS (SELECT doc_id, unnest(range(greatest(1, ceil(length(text)
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into pages, with metrics; tables and columns are made up from its number."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(0), (F.greatest(F.lit(1), F.ceil(F.length("text") / PAGE)) - 1).cast("int"))).alias("page_index"))
-    cut = docs.withColumn("text", F.substring(F.col("text"), F.col("page_index") * PAGE + 1, F.lit(PAGE)))
+    slices = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+    cut = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.when(F.length("text") > 0, slices).otherwise(F.array(F.lit("")))).alias("page_index", "text"))
     has = F.col("doc_id") % 11 == 0
     return L.page_metrics(cut).withColumns({"table_count": F.when(has, 1).otherwise(0), "table_text_ratio": F.when(has, F.col("page_index") % 2 * 0.9 + 0.05).otherwise(0.0), "estimated_columns": (F.col("doc_id") % 3 + 1).cast("int")})
 

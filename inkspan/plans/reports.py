@@ -36,8 +36,8 @@ def bounded_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH r AS (SELECT user_id, CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'empty' ELSE 'ok' END AS status, CASE WHEN event_id % 10 = 0 THEN 0 ELSE value END AS latency, event_id % 500 AS chars, value / 1000 AS confidence, CASE WHEN event_id % 2 = 0 THEN value / 100 END AS cer FROM events)
     SELECT user_id, count(*) AS requests, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'empty') AS empty, count(*) FILTER (status = 'error') AS errors, round(count(*) / 3600::DOUBLE * 60, 3) AS pages_per_min,
-    round(coalesce(avg(latency) FILTER (latency <> 0), 0), 3) AS latency_avg, round(coalesce(quantile_cont(latency, 0.5) FILTER (latency <> 0), 0), 3) AS latency_p50, round(coalesce(quantile_cont(latency, 0.9) FILTER (latency <> 0), 0), 3) AS latency_p90,
-    round(coalesce(avg(chars) FILTER (status = 'ok'), 0), 1) AS chars_avg, round(coalesce(avg(confidence) FILTER (status = 'ok'), 0), 3) AS confidence_avg, round(avg(cer) FILTER (status = 'ok'), 6) AS cer_avg FROM r GROUP BY user_id""")
+    coalesce(((sum(round(latency * 1000000)::BIGINT) FILTER (latency <> 0) * 2 + count(latency) FILTER (latency <> 0) * 1000)::BIGINT // nullif(count(latency) FILTER (latency <> 0) * 2000, 0)) / 1000, 0) AS latency_avg, round(coalesce(quantile_cont(latency, 0.5) FILTER (latency <> 0), 0), 3) AS latency_p50, round(coalesce(quantile_cont(latency, 0.9) FILTER (latency <> 0), 0), 3) AS latency_p90,
+    coalesce(((sum(round(chars * 1000000)::BIGINT) FILTER (status = 'ok') * 2 + count(chars) FILTER (status = 'ok') * 100000)::BIGINT // nullif(count(chars) FILTER (status = 'ok') * 200000, 0)) / 10, 0) AS chars_avg, coalesce(((sum(round(confidence * 1000000)::BIGINT) FILTER (status = 'ok') * 2 + count(confidence) FILTER (status = 'ok') * 1000)::BIGINT // nullif(count(confidence) FILTER (status = 'ok') * 2000, 0)) / 1000, 0) AS confidence_avg, ((sum(round(cer * 1000000000)::BIGINT) FILTER (status = 'ok') * 2 + count(cer) FILTER (status = 'ok') * 1000)::BIGINT // nullif(count(cer) FILTER (status = 'ok') * 2000, 0)) / 1000000 AS cer_avg FROM r GROUP BY user_id""")
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests of each user: counts, mean, median and ninetieth percentile."""
     i, v = F.col("event_id"), F.col("value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkspan.functions import text as T
@@ -30,11 +30,11 @@ def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     l AS (SELECT doc_id, t, length(t) AS chars, length(t) - length(regexp_replace(t, '{SPACE}', '', 'g')) AS spaces, length(t) - length(regexp_replace(t, '[가-힣]', '', 'g')) AS hangul, length(t) - length(regexp_replace(t, '\p{{Nd}}', '', 'g')) AS digits,
         list_filter(list_transform(regexp_split_to_array(t, '\r\n|[\n\r\x{{0b}}\x{{0c}}\x{{1c}}\x{{1d}}\x{{1e}}\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: regexp_replace(x, '^{SPACE}+|{SPACE}+$', '', 'g')), lambda x: x <> '') AS lines FROM t),
     r AS (SELECT *, coalesce(1 - len(list_distinct(lines)) / nullif(len(lines), 0), 0) AS repeated FROM l)
-    SELECT doc_id, chars::INTEGER AS chars, len(lines)::INTEGER AS lines, digits::INTEGER AS digits, round(hangul / greatest(1, chars - spaces), 4) AS hangul_ratio, round(repeated, 4) AS duplicate_line_ratio,
+    SELECT doc_id, chars::INTEGER AS chars, len(lines)::INTEGER AS lines, digits::INTEGER AS digits, round(hangul / greatest(1, chars - spaces), 4) AS hangul_ratio, round(repeated, 4) AS duplicate_line_ratio, (chars - length(regexp_replace(t, '[一-鿿]', '', 'g')))::INTEGER AS hanja_chars, round((chars - (chars - length(regexp_replace(t, '[\x{{00}}-\x{{08}}\x{{0e}}-\x{{1b}}\x{{7f}}-\x{{84}}\x{{86}}-\x{{9f}}\p{{Cf}}\p{{Co}}]', '', 'g')))) / greatest(1, chars), 4) AS printable_ratio, (chars - length(replace(t, chr(65533), '')))::INTEGER AS replacement_chars, (len(string_split(t, '(cid:')) - 1)::INTEGER AS cid_markers,
         chars = 0 OR contains(t, chr(65533)) OR contains(t, '(cid:') OR (chars >= 100 AND hangul / greatest(1, chars - spaces) < 0.05) OR repeated > 0.45 AS suspect FROM r""")
 def transcript_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = table(spark, sf_dir, "documents").select("doc_id", T.transcript_quality(F.col("text")).alias("q"))
-    return q.select("doc_id", "q.chars", "q.lines", "q.digits", "q.hangul_ratio", "q.duplicate_line_ratio", "q.suspect")
+    q = T.transcript_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "q")
+    return q.select("doc_id", "q.chars", "q.lines", "q.digits", "q.hangul_ratio", "q.duplicate_line_ratio", "q.suspect", "q.hanja_chars", "q.printable_ratio", "q.replacement_chars", "q.cid_markers")
 
 
 @query(rf"""WITH l AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\r\n|[\n\r\x{{0b}}\x{{0c}}\x{{1c}}\x{{1d}}\x{{1e}}\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: regexp_replace(x, '^{SPACE}+|{SPACE}+$', '', 'g')), lambda x: x <> '') AS lines FROM documents)
@@ -49,11 +49,15 @@ def mojibake_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.mojibake(F.col("text"))["status"].alias("status"))
 
 
-@query()
+@query(rf"""WITH c AS (SELECT conv_id, turn, regexp_replace(coalesce(text, ''), '[^\x{{00}}-\x{{7f}}]', '?', 'g') AS text, regexp_replace(coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text), ''), '[^\x{{00}}-\x{{7f}}]', '?', 'g') AS before FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+    z AS (SELECT conv_id, turn, regexp_replace(before, '{SPACE}+', '', 'g') AS r, regexp_replace(text, '{SPACE}+', '', 'g') AS c FROM c), d AS (SELECT *, levenshtein(r, c) AS d FROM z)
+    SELECT conv_id, turn, length(r)::INTEGER AS reference_chars, length(c)::INTEGER AS candidate_chars, d::INTEGER AS distance, round(d / greatest(1, length(r)), 6) AS cer, round(greatest(0, 1 - d / greatest(1, length(r))), 6) AS similarity, round(length(c) / greatest(1, length(r)), 4) AS length_ratio FROM d""")
 def error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every benchmark item against the document of its number: character distance of the whole texts. (DuckDB counts bytes.)"""
-    pairs = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "reference").join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text"), "item_id")
-    return pairs.select("item_id", T.error_rate(F.col("reference"), F.col("text")).alias("m")).select("item_id", "m.*")
+    """Every turn as a reading of the one before it in its conversation: character distance of the whole texts. (Signs beyond ASCII count as one each; DuckDB's distance counts bytes.)"""
+    ascii_only = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\x00-\x7F]", "?")
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").distinct().withColumn("before", before)
+    return turns.select("conv_id", "turn", T.error_rate(ascii_only(F.col("before")), ascii_only(F.col("text"))).alias("m")).select("conv_id", "turn", "m.*")
 
 
 @query()

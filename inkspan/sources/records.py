@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkspan.functions.text import nz
@@ -43,9 +43,12 @@ def lookup(table: DataFrame, year: str, date_key: str, item_id: str) -> DataFram
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_number, value) of a text file's lines, from 0. A file is numbered as a whole, so it is read as a whole."""
-    raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_number", "value"))
+    """(path, line_number, value) of text files' lines, from 0 in each. Files are read in splits; a split's lines are numbered from the number of lines of its file's earlier splits."""
+    raw = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__row"), F.regexp_replace("value", "\r$", "").alias("value"))
+    splits = raw.groupBy("path", "__at").agg(F.count(F.lit(1)).alias("n"), F.min("__row").alias("__first"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("path", "__at", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__offset"))
+    return raw.join(offsets, ["path", "__at"]).select("path", (F.col("__row") + F.col("__offset")).cast("int").alias("line_number"), "value")
 
 
 def manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -150,8 +153,3 @@ def _scalar(text: str):
         except ValueError:
             pass
     return {"true": True, "false": False, "null": None, "~": None}.get(text.lower(), text)
-
-
-def resolved(*attempts: Column) -> Column:
-    """The first of several attempts that gave anything."""
-    return F.coalesce(*attempts)

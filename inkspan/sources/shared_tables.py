@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """spark.checkpoint.dir. Only where that is unset and all runs on one machine (tests), a folder of our own."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("inkspan.shared.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="inkspan-")
         spark.conf.set("inkspan.shared.dir", at)
     return at.rstrip("/")

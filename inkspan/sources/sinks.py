@@ -46,9 +46,10 @@ def append_lines(df: DataFrame, folder: str) -> None:
     df.select(*sorted(df.columns)).write.mode("append").json(folder)
 
 
-def analytics(df: DataFrame, name: str, key: str, buckets: int = 32) -> None:
-    """A table bucketed by its key, so that joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
+def analytics(df: DataFrame, name: str, key: str, buckets: int = 32, path: str | None = None) -> None:
+    """A table bucketed by its key, so that joins on it need no shuffle; in the warehouse, or at a path."""
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def flat_rows(df: DataFrame) -> DataFrame:

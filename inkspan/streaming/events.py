@@ -44,16 +44,17 @@ def resumed(source: DataFrame, done: str, checkpoint: str, key: str, work) -> No
 
     def batch(rows: DataFrame, _: int) -> None:
         spark = rows.sparkSession
-        try:
-            known = spark.read.parquet(done).select(key)
-        except Exception:  # the first batch finds no table
-            known = rows.select(key).limit(0)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(done)
+        there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+        # the first batch finds no table; one that is there and can't be read is an error
+        known = spark.read.parquet(done).select(key) if there else rows.select(key).limit(0)
         result = work(rows.join(known, key, "left_anti"))
         result.where("status <> 'error'").write.mode("append").parquet(done)
 
     source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+TICKS = {"s": 1, "ms": 10**3, "us": 10**6, "ns": 10**9}
 STATE = "status string, claim_id string, claimed_at double"
 CLAIMS = "job long, task_key string, status string, claim_id string"
 
@@ -67,14 +68,13 @@ def claims(events: DataFrame, timeout_ms: int = 600_000, late: str = "10 minutes
             status, claim = ("pending", "") if status == "claimed" else (status, claim)
         else:
             rows = pd.concat(list(batches)).sort_values("event_id")
-            for r in rows.itertuples():
-                now = r.ts.timestamp()
+            for kind, claim_id, now in zip(rows["kind"].tolist(), rows["claim_id"].tolist(), (rows["ts"].astype("int64") / TICKS[rows["ts"].dt.unit]).tolist()):
                 if status == "claimed" and now - at > timeout_ms / 1000:
                     status, claim = "pending", ""
-                if r.kind == "claim" and status == "pending":
-                    status, claim, at = "claimed", r.claim_id, now
-                elif r.kind in ("complete", "fail") and status == "claimed" and r.claim_id == claim:
-                    status = "updated" if r.kind == "complete" else "error"
+                if kind == "claim" and status == "pending":
+                    status, claim, at = "claimed", claim_id, now
+                elif kind in ("complete", "fail") and status == "claimed" and claim_id == claim:
+                    status = "updated" if kind == "complete" else "error"
         state.update((status, claim, at))
         if status == "claimed":
             state.setTimeoutTimestamp(max(int(at * 1000) + timeout_ms, state.getCurrentWatermarkMs() + 1))

@@ -48,7 +48,7 @@ def test_readability_and_forms(spark):
 
 
 def test_transcript_quality(spark):
-    q = apply(spark, T.transcript_quality, ["가나다 漢字 12\n가나다 漢字 12\n", "x" * 100, "ok �", ""])
+    q = apply(spark, lambda c: T._quality(T.tidy(c), T.filled_lines(T.tidy(c))), ["가나다 漢字 12\n가나다 漢字 12\n", "x" * 100, "ok �", ""])
     assert (q[0].lines, q[0].hanja_chars, q[0].digits, q[0].duplicate_line_ratio, q[0].suspect) == (2, 4, 4, 0.5, True)
     assert [x.suspect for x in q] == [True, True, True, True] and q[2].replacement_chars == 1
 

@@ -108,12 +108,12 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", ("ok", 3), {"k": "v"}, "k1", "t"), ("b", ("no", None), None, None, "")], "id string, pdf struct<status string, size int>, tags map<string,string>, category string, title string")
     sinks.csv(df, f"{tmp_path}/csv", "pdf")
     text = b"".join(p.read_bytes() for p in (tmp_path / "csv").glob("*.csv"))
-    assert text.startswith("﻿id".encode()) and b"pdf_status,pdf_size" in text and b'{""k"":""v""}' in text or b"k" in text
+    assert text.startswith("\ufeffid".encode()) and b"pdf_status,pdf_size" in text and b'{\\"k\\":\\"v\\"}' in text
     for _ in range(2):
         sinks.by_category(df, f"{tmp_path}/cat")
         sinks.append_lines(df.select("title", "id"), f"{tmp_path}/log")
     assert sorted(p.name for p in (tmp_path / "cat").iterdir() if p.is_dir()) == ["category=k1", "category=unknown"]
-    assert spark.read.json(f"{tmp_path}/log").count() == 4 and (next((tmp_path / "log").glob("*.json")).read_text().startswith('{"id"'))
+    assert spark.read.json(f"{tmp_path}/log").count() == 4 and all(line.startswith('{"id"') for p in (tmp_path / "log").glob("*.json") for line in p.read_text().splitlines())
     sinks.single({"b": 1, "a": "가"}, f"{tmp_path}/r/report.json")
     assert json.loads((tmp_path / "r/report.json").read_text())["a"] == "가" and not list((tmp_path / "r").glob("*.tmp"))
     sinks.analytics(df.select("id", "title"), "flat_test", "id", 4)

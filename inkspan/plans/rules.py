@@ -104,10 +104,10 @@ def candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.candidates(items, there, "root")
 
 
-@query("SELECT o_custkey, [3, 1, 2] AS pages FROM orders GROUP BY 1")
+@query("SELECT o_custkey, '3,1,2' AS pages FROM orders GROUP BY 1")
 def pages_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Given pages in their order, each once, without what is none."""
-    return table(spark, sf_dir, "orders").select("o_custkey").distinct().select("o_custkey", M.page_numbers(F.array(*map(F.lit, ("3", "1", "x", "3", "-1", "2", "1", "9"))), F.lit(5), 3).alias("pages"))
+    return table(spark, sf_dir, "orders").select("o_custkey").distinct().select("o_custkey", M.page_numbers(F.array(*map(F.lit, ("3", "1", "x", "3", "-1", "2", "1", "9"))), F.lit(5), 3).cast("array<string>").alias("pages")).withColumn("pages", F.array_join("pages", ","))
 
 
 @query("SELECT l_orderkey, l_linenumber, printf('p%03d-t%03d', (l_orderkey % 50 + 1)::INTEGER, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate)::INTEGER) AS table_id FROM lineitem")
@@ -138,30 +138,30 @@ def name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.fold_key(t)).alias("folded"), F.md5(T.similarity_key(t)).alias("similar"))
 
 
-@query("SELECT p_partkey, list_filter(list_distinct([regexp_replace(p_name, '[^0-9A-Za-z]', '', 'g'), regexp_replace(p_name || '(' || p_brand || ')', '[^0-9A-Za-z]', '', 'g')]), lambda x: length(x) >= 8) AS needles FROM part".replace("list_distinct", ""))
+@query("SELECT p_partkey, array_to_string(list_filter(list_distinct([regexp_replace(p_name, '[^0-9A-Za-z]', '', 'g'), regexp_replace(p_name || '(' || p_brand || ')', '[^0-9A-Za-z]', '', 'g')]), lambda x: length(x) >= 8), '; ') AS needles FROM part".replace("list_distinct", ""))
 def needles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What to look for: the title before a bracket, and whole."""
-    return table(spark, sf_dir, "part").select("p_partkey", T.title_needles(F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).alias("needles"))
+    return table(spark, sf_dir, "part").select("p_partkey", T.title_needles(F.concat("p_name", F.lit("("), "p_brand", F.lit(")"))).alias("needles")).withColumn("needles", F.array_join("needles", "; "))
 
 
-@query("SELECT s_suppkey, ['TOC' || s_suppkey, 'a, \"b\"', s_name] AS arguments FROM supplier")
+@query("SELECT s_suppkey, 'TOC' || s_suppkey || '; a, \"b\"; ' || s_name AS arguments FROM supplier")
 def script_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
     call = F.concat(F.lit("x(); fnDetail('TOC"), "s_suppkey", F.lit("', 'a, \"b\"', '"), "s_name", F.lit("'); y('z')"))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", T.call_arguments(call).alias("arguments"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(T.call_arguments(call), "; ").alias("arguments"))
 
 
-@query("SELECT s_suppkey, 'qwen3-' || s_suppkey AS dashless, 'Qwen-3-' || s_suppkey AS kept, [s_name, 'b'] AS parts, [s_name, 'c d'] AS listed, s_nationkey || '||' || s_name AS identity FROM supplier")
+@query("SELECT s_suppkey, 'qwen3-' || s_suppkey AS dashless, 'Qwen-3-' || s_suppkey AS kept, s_name || '; b' AS parts, s_name || '; c d' AS listed, s_nationkey || '||' || s_name AS identity FROM supplier")
 def small_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model ids, comma and arrow lists, composite keys."""
     m = F.concat(F.lit("Qwen-3-"), "s_suppkey")
-    return table(spark, sf_dir, "supplier").select("s_suppkey", T.model_id(m, True).alias("dashless"), T.model_id(m, False).alias("kept"), T.csv_parts(F.concat(F.lit(" ,"), "s_name", F.lit(", ,b　"))).alias("parts"), N.as_list(F.concat("s_name", F.lit(" > > c d "))).alias("listed"), I.identity(F.col("s_nationkey"), F.lit(None), F.col("s_name")).alias("identity"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", T.model_id(m, True).alias("dashless"), T.model_id(m, False).alias("kept"), F.array_join(T.csv_parts(F.concat(F.lit(" ,"), "s_name", F.lit(", ,b　"))), "; ").alias("parts"), F.array_join(N.as_list(F.concat("s_name", F.lit(" > > c d "))), "; ").alias("listed"), I.identity(F.col("s_nationkey"), F.lit(None), F.col("s_name")).alias("identity"))
 
 
-@query("WITH v(k, name, aliases) AS (VALUES (0, '서울특별시', ['서울', '서울시']), (1, '강원도 춘천시', ['강원특별자치도 춘천시']), (2, '경상북도', ['경북'])) SELECT n_nationkey, name, aliases FROM nation JOIN v ON n_nationkey % 3 = k")
+@query("WITH v(k, name, aliases) AS (VALUES (0, '서울특별시', ['서울', '서울시']), (1, '강원도 춘천시', ['강원특별자치도 춘천시']), (2, '경상북도', ['경북'])) SELECT n_nationkey, name, array_to_string(aliases, '; ') AS aliases FROM nation JOIN v ON n_nationkey % 3 = k")
 def place_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey") % 3
     name = F.when(k == 0, "서울특별시").when(k == 1, "강원도 춘천시").otherwise("경상북도")
-    return table(spark, sf_dir, "nation").select("n_nationkey", name.alias("name"), F.array_sort(G.aliases(name)).alias("aliases"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", name.alias("name"), F.array_join(F.array_sort(G.aliases(name)), "; ").alias("aliases"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN 'unknown' ELSE year(o_orderdate)::VARCHAR END AS year, CASE o_orderkey % 4 WHEN 3 THEN 'unknown' WHEN 2 THEN 'unknown' ELSE strftime(o_orderdate, '%Y%m%d') END AS date_key, CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate::DATE END AS prefix, o_orderdate::DATE AS strict,
@@ -285,11 +285,11 @@ def offline_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.match_offline(a, places).select("s_suppkey", "place.admin_code", "needs_service")
 
 
-@query("SELECT p_partkey, ['Batang', 'Gulim'] AS fonts, (p_partkey % 3)::INTEGER AS images, true AS has_digital_evidence, p_partkey % 3 > 0 AS has_images FROM part")
+@query("SELECT p_partkey, 'Batang; Gulim' AS fonts, (p_partkey % 3)::INTEGER AS images, true AS has_digital_evidence, p_partkey % 3 > 0 AS has_images FROM part")
 def digital_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     body = F.concat(F.lit("%PDF-1.4 <</BaseFont /Gulim>> <</BaseFont/Batang>> <</BaseFont /Gulim>>"), F.repeat(F.lit(" <</Subtype /Image>>"), (k % 3).cast("int")))
-    return table(spark, sf_dir, "part").select("p_partkey", files.digital_origin(F.encode(body, "UTF-8")).alias("o")).select("p_partkey", "o.*")
+    return table(spark, sf_dir, "part").select("p_partkey", files.digital_origin(F.encode(body, "UTF-8")).alias("o")).select("p_partkey", F.array_join("o.fonts", "; ").alias("fonts"), "o.images", "o.has_digital_evidence", "o.has_images")
 
 
 @query("SELECT event_id FROM events WHERE event_type <> 'error' AND event_id % 4 = 0")

@@ -112,6 +112,15 @@ def chunks(rows: DataFrame, order: str, size: int, workers: int) -> DataFrame:
     return numbered.withColumn("chunk", c).withColumn("worker", F.pmod(F.col("chunk"), F.lit(workers)).cast("int")).drop("ordinal")
 
 
+def session_turns(tasks: DataFrame, order: str, sessions: DataFrame) -> DataFrame:
+    """session and generation of each task: sessions (slot from 0, session, failed: a sorted array of the ordinals at which it failed) take turns; after each failure a slot has a fresh session, a generation later."""
+    pool = sessions.select(F.col("slot").cast("bigint").alias("__slot"), "session", F.coalesce("failed", F.array().cast("array<bigint>")).alias("__failed"))
+    n = pool.count()
+    numbered = ordinal(tasks, order).withColumn("__turn", F.pmod(F.col("ordinal") - 1, F.lit(n)))
+    joined = numbered.join(pool, F.col("__turn") == F.col("__slot"))
+    return joined.withColumn("generation", F.size(F.filter("__failed", lambda x: x < F.col("ordinal")))).drop("__turn", "__slot", "__failed")
+
+
 def replay(log: DataFrame, key: str, order: str, retry_failed: bool = False) -> DataFrame:
     """(key, status) by the last line of each key; with retry_failed, failures are dropped first, so they undo no success."""
     lines = log.where(~F.col("status").isin("error", "updated_empty")) if retry_failed else log

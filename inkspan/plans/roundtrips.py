@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkspan.operators import audits as A
+from inkspan.operators import queues as Q
 from inkspan.operators import reports as R
 from inkspan.registry import query
 from inkspan.session import table
-from inkspan.sources import files, records, sinks
+from inkspan.sources import copies, files, records, sinks
 from inkspan.sources.shared_tables import folder
 
 
@@ -37,7 +39,7 @@ def items_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
     value = F.when(k % 14 == 0, "[1, 2]").when(k % 7 == 0, "{broken").otherwise(F.to_json(F.struct(F.col("n_name").alias("name"), k.alias("id"))))
     at = one_by_one(table(spark, sf_dir, "nation").select("n_nationkey", value.alias("value")), "n_nationkey", place(spark, "items"))
-    return records.typed_items(spark, at, "name string").select(F.regexp_extract("path", r"n_nationkey=(\d+)/", 1).cast("bigint").alias("k"), "name", "json_error")
+    return records.typed_items(spark, at, "name string").select(F.regexp_extract("path", r"n_nationkey=(\d+)/", 1).cast("int").alias("k"), "name", "json_error")
 
 
 @query("SELECT n_nationkey::VARCHAR AS id, CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END::INTEGER AS v, n_name AS name FROM nation")
@@ -121,7 +123,7 @@ def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = place(spark, "objects")
     table(spark, sf_dir, "nation").select("n_name", "n_regionkey").repartition(1).write.partitionBy("n_regionkey").text(at)
     found = records.objects(spark, at, "pre/").where("key like 'pre/n_regionkey=%'")
-    return found.select(F.regexp_extract("key", r"^pre/n_regionkey=(\d+)/", 1).cast("bigint").alias("region"), "size")
+    return found.select(F.regexp_extract("key", r"^pre/n_regionkey=(\d+)/", 1).cast("int").alias("region"), "size")
 
 
 @query("SELECT p_partkey AS key, p_size::BIGINT AS size FROM part WHERE p_partkey % 3 <> 0")
@@ -203,3 +205,37 @@ def text_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cut(content: bytes) -> list[str]:
     text = content.decode()
     return [text[i : i + 1000] for i in range(0, len(text), 1000)]
+
+
+@query("SELECT n_regionkey AS region, CASE WHEN n_regionkey = 4 THEN 'error' ELSE 'copied' END AS status, CASE WHEN n_regionkey = 4 THEN 0 ELSE sum(strlen(n_name) + 1) END::BIGINT AS bytes, CASE WHEN n_regionkey <> 4 THEN sum(strlen(n_name) + 1) END::BIGINT AS size FROM nation GROUP BY 1 UNION ALL SELECT 9, 'deleted', 0, NULL")
+def synced_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each region, copied by a sync plan to a target, where a file that the source lacks goes; one file is gone before its turn."""
+    at = place(spark, "sync")
+    # the first target takes nothing (a file stands where its folder would be), the second is the fallback
+    text = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.concat(F.array_join(F.collect_list("n_name"), "\n"), F.lit("\n")).alias("value"))
+    one_by_one(text.withColumn("value", F.rtrim(F.col("value"), F.lit("\n"))), "n_regionkey", f"{at}/source")
+    one_by_one(table(spark, sf_dir, "region").limit(1).select(F.lit(9).alias("n_regionkey"), F.lit("x").alias("value")), "n_regionkey", f"{at}/target")
+    mine = lambda d: records.objects(spark, f"{at}/{d}").where("key like '%.json'")
+    plan = A.sync_plan(mine("source").withColumn("key", F.replace("key", F.lit("=4/"), F.lit("=4/gone-"))), mine("target")).select("key", "action")
+    done = place(spark, "copied")
+    copies.copied(plan, f"{at}/source", f"{at}/target/n_regionkey=9/item.json", f"{at}/target").write.parquet(done)
+    now = records.objects(spark, f"{at}/target").select(F.col("key").alias("k"), "size")
+    out = spark.read.parquet(done)
+    return out.join(now, F.col("k") == F.col("key"), "left").select(F.regexp_extract("key", r"=(\d+)/", 1).cast("int").alias("region"), "status", "bytes", "size")
+
+
+@query("SELECT c_custkey, CASE (n - 1) % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS session, CASE WHEN (n - 1) % 3 = 1 THEN (n > 2)::INTEGER + (n > 20)::INTEGER ELSE 0 END AS generation FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS n FROM customer)")
+def session_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as requests over three sessions in turn, of which one failed twice and was replaced."""
+    pool = spark.createDataFrame([(0, "a", None), (1, "b", [2, 20]), (2, "c", [])], "slot int, session string, failed array<bigint>")
+    return Q.session_turns(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", pool).select("c_custkey", "session", "generation")
+
+
+@query("SELECT doc_id, md5('x' || regexp_replace(text, '[^A-Za-z0-9.,]', '_', 'g')) AS text, 1 AS pages FROM documents")
+def pdf_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a PDF of one page, read back by the reader of PDF files."""
+    body = F.concat(F.lit("BT /F 10 Tf 50 700 Td (x"), F.regexp_replace("text", "[^A-Za-z0-9.,]", "_"), F.lit(") Tj ET"))
+    head = "%PDF-1.4\n1 0 obj <</Type /Catalog /Pages 2 0 R>> endobj 2 0 obj <</Kids [3 0 R]>> endobj 3 0 obj <</Type /Page /Contents 4 0 R>> endobj 4 0 obj <</Length "
+    content = F.encode(F.concat(F.lit(head), F.length(body), F.lit(">>\nstream\n"), body, F.lit("\nendstream endobj\n%%EOF")), "UTF-8")
+    found = files.read_pages(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), content.alias("content")))
+    return found.groupBy(F.col("path").cast("bigint").alias("doc_id")).agg(F.md5(F.first("text")).alias("text"), F.max("page").alias("pages"))

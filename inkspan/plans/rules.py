@@ -288,7 +288,7 @@ def offline_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey, 'Batang; Gulim' AS fonts, (p_partkey % 3)::INTEGER AS images, true AS has_digital_evidence, p_partkey % 3 > 0 AS has_images FROM part")
 def digital_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    body = F.concat(F.lit("%PDF-1.4 <</BaseFont /Gulim>> <</BaseFont/Batang>> <</BaseFont /Gulim>>"), F.repeat(F.lit(" <</Subtype /Image>>"), (k % 3).cast("int")))
+    body = F.concat(F.lit("%PDF-1.4 1 0 obj <</BaseFont /Gulim>> endobj 2 0 obj <</BaseFont/Batang>> endobj 3 0 obj <</BaseFont /Gulim>> endobj"), F.when(k % 3 > 0, " 4 0 obj <</Subtype /Image>> endobj").otherwise(""), F.when(k % 3 > 1, " 5 0 obj <</Subtype /Image>> endobj").otherwise(""))
     return table(spark, sf_dir, "part").select("p_partkey", files.digital_origin(F.encode(body, "UTF-8")).alias("o")).select("p_partkey", F.array_join("o.fonts", "; ").alias("fonts"), "o.images", "o.has_digital_evidence", "o.has_images")
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+from inkspan.sources import pdf
 
 HEAD, TAIL, TAIL_BYTES, LEAST_BYTES = b"%PDF-", b"%%EOF", 4096, 100
 
@@ -49,24 +50,12 @@ def body_summary(content: Column) -> Column:
     return F.struct(F.octet_length(content).alias("bytes"), F.sha2(content, 256).alias("sha256"), has_head(content).alias("starts_pdf"), complete(content).alias("pdf_complete"), F.hex(F.substring(content, 1, 16)).alias("head"))
 
 
-def _strings(content: bytes) -> list[str]:
-    """The text of each page's streams: shown strings of a PDF whose text is in plain or deflated streams. A light reader for files that need no fonts' tables."""
-    pages = []
-    for found in re.finditer(rb"stream\r?\n(.*?)\r?\nendstream", content, re.S):
-        data = found[1]
-        try:
-            data = zlib.decompress(data)
-        except zlib.error:
-            pass
-        shown = re.findall(rb"\(((?:\\.|[^\\()])*)\)\s*(?:Tj|')|\[((?:[^\]\\]|\\.)*)\]\s*TJ", data)
-        if shown:
-            parts = [a if a else b"".join(re.findall(rb"\(((?:\\.|[^\\()])*)\)", b)) for a, b in shown]
-            pages.append(re.sub(rb"\\(.)", rb"\1", b" ".join(parts)).decode("latin-1"))
-    return pages
+def _text(content: bytes) -> list[str]:
+    return [p.text() for p in pdf.pages(content)]
 
 
 Reader = Callable[[bytes], list[str]]
-READERS: dict[str, Reader] = {"streams": _strings}
+READERS: dict[str, Reader] = {"streams": _text}
 
 
 def read_pages(files: DataFrame, method: str = "streams", readers: dict[str, Reader] | None = None) -> DataFrame:
@@ -98,9 +87,37 @@ def text_metadata(pages: DataFrame, sample: int = 500) -> DataFrame:
     return g.withColumns({"text_extractable": F.col("total_chars") > 0, "avg_chars": F.round(F.coalesce(F.try_divide("total_chars", "pages"), F.lit(0.0)), 2), "quality": mojibake(F.col("__t"))["status"], "sample_text": F.left(squash(F.col("__t")), F.lit(sample))}).drop("__t")
 
 
+LAYOUT = "path string, status string, error string, page int, words array<struct<x:double,y:double,size:double,text:string>>, tables array<struct<bbox:array<double>,rows:array<array<string>>>>, images int"
+
+
+def read_layout(files: DataFrame) -> DataFrame:
+    """(path, status, error, page, words, tables, images) of each page: words with their places, ruled tables with their cells' texts. A file that can't be read gives one error row."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for path, content in zip(b["path"], b["content"]):
+                try:
+                    for i, p in enumerate(pdf.pages(bytes(content)), 1):
+                        rows.append((path, "ok", None, i, [dict(zip(("x", "y", "size", "text"), w)) for w in p.words], p.tables(), p.images))
+                except Exception as e:  # a file's fault is its row's status
+                    rows.append((path, "error", f"{type(e).__name__}: {e}", 0, [], [], 0))
+            yield pd.DataFrame(rows, columns=["path", "status", "error", "page", "words", "tables", "images"])
+
+    return files.select("path", "content").mapInPandas(run, LAYOUT)
+
+
+@F.pandas_udf(StructType([StructField("fonts", ArrayType(StringType())), StructField("images", IntegerType())]))
+def _origin(contents: pd.Series) -> pd.DataFrame:
+    out = []
+    for c in contents:
+        try:
+            out.append(([], 0) if c is None else pdf.Document(bytes(c)).origin())
+        except Exception:  # what can't be read shows no evidence
+            out.append(([], 0))
+    return pd.DataFrame(out, columns=["fonts", "images"])
+
+
 def digital_origin(content: Column) -> Column:
-    """Struct of fonts, images and evidence: what a file's objects say of how it was made."""
-    raw = F.decode(content, "ISO-8859-1")
-    fonts = F.array_sort(F.array_distinct(F.regexp_extract_all(raw, F.lit(r"/BaseFont\s*/([A-Za-z0-9+,._-]+)"), 1)))
-    images = F.regexp_count(raw, F.lit(r"/Subtype\s*/Image"))
-    return F.struct(fonts.alias("fonts"), images.alias("images"), (F.size(fonts) > 0).alias("has_digital_evidence"), (images > 0).alias("has_images"))
+    """Struct of fonts, images and evidence: what a file's objects, those in object streams too, say of how it was made."""
+    return F.transform(F.array(_origin(content)), lambda o: F.struct(o["fonts"].alias("fonts"), o["images"].alias("images"), (F.size(o["fonts"]) > 0).alias("has_digital_evidence"), (o["images"] > 0).alias("has_images")))[0]

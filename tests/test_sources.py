@@ -53,7 +53,50 @@ def test_point_lookup_reads_one_partition(spark, tmp_path):
     assert one.count() == 1 and "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().toString()
 
 
-PDF = b"%PDF-1.4\n1 0 obj <</BaseFont /Batang>> stream\n" + zlib.compress(b"BT (Hello \\(x\\)) Tj [(wo) -5 (rld)] TJ ET") + b"\nendstream\n" + b" " * 80 + b"%%EOF"
+def made_pdf(objects, packed=()):
+    """A PDF of numbered objects (dictionary, stream or None), some in an object stream."""
+    out = b"%PDF-1.5\n"
+    if packed:
+        heads, bodies = "", b""
+        for n, body in packed:
+            heads += f"{n} {len(bodies)} "
+            bodies += body + b" "
+        objects = [*objects, (90, b"/Type /ObjStm /Filter /FlateDecode /N %d /First %d" % (len(packed), len(heads)), heads.encode() + bodies)]
+    for n, head, data in objects:
+        raw = zlib.compress(data) if data is not None and b"FlateDecode" in head else data
+        out += b"%d 0 obj\n<<%s%s>>\n" % (n, head, b"" if raw is None else b" /Length %d" % len(raw))
+        out += (b"" if raw is None else b"stream\n" + raw + b"\nendstream\n") + b"endobj\n"
+    return out + b" " * 80 + b"\n%%EOF"
+
+
+PDF = made_pdf([(1, b"/Type /Catalog /Pages 2 0 R", None), (2, b"/Kids [3 0 R]", None), (3, b"/Type /Page /Contents 4 0 R /Resources <</Font <</F 5 0 R>>>>", None), (4, b"/Filter /FlateDecode", b"BT /F 10 Tf 50 700 Td (Hello \\(x\\)) Tj 60 0 Td [(wo) -5 (rld)] TJ ET"), (5, b"/Type /Font /Subtype /Type1 /BaseFont /Batang", None)])
+CMAP = b"1 begincodespacerange <0000> <FFFF> endcodespacerange 2 beginbfchar <0001> <AC00> <0002> <B098> endbfchar 2 beginbfrange <0010> <0012> <B2E4> <0020> <0021> [<0041> <D55C AE00>] endbfrange"
+GRID = b" ".join(b"100 %d 200 50 re S" % y for y in (600, 550)) + b" 200 550 m 200 650 l S "
+KOREAN = made_pdf(
+    [(4, b"/Filter /FlateDecode", GRID + b"BT /F 10 Tf 105 630 Td <0001> Tj 100 0 Td <0002> Tj -100 -50 Td <00100012> Tj 100 0 Td <0021> Tj ET q 1 0 0 1 0 -100 cm /X Do Q /I Do"), (6, b"/Filter /ASCIIHexDecode", CMAP.hex().encode() + b">"), (7, b"/Subtype /Form /Resources <</Font <</F 5 0 R>>>>", b"BT /F 10 Tf 1 0 0 1 50 300 Tm <00200099> Tj T* ET"), (8, b"/Subtype /Image /Filter /DCTDecode", b"x")],
+    [(1, b"<</Type /Catalog /Pages 2 0 R>>"), (2, b"<</Kids [3 0 R 9 0 R] /Resources <</Font <</F 5 0 R>> /XObject <</X 7 0 R /I 8 0 R>>>>>>"), (3, b"<</Type /Page /Contents [4 0 R]>>"), (5, b"<</Subtype /Type0 /BaseFont /ABC+Batang#20X /ToUnicode 6 0 R>>"), (9, b"<</Type /Page>>")],
+)
+
+
+def test_pdf_objects_maps_and_tables(spark, tmp_path):
+    from inkspan.sources import pdf
+
+    first, second = pdf.pages(KOREAN)
+    assert first.text() == "가 나\n다닦 한글\nA(cid:153)" and first.images == 1 and second.text() == ""
+    assert [w[:2] for w in first.words][:2] == [(105, 630), (205, 630)] and first.words[-1][1] == 200
+    assert [(t["bbox"], t["rows"]) for t in first.tables()] == [([100, 550, 300, 650], [["가", "나"], ["다닦", "한글"]])]
+    assert pdf.Document(KOREAN).origin() == (["ABC+Batang X"], 1)
+    assert pdf.pages(PDF)[0].text() == "Hello (x) world" and pdf.pages(PDF)[0].tables() == []
+    with pytest.raises(PermissionError):
+        pdf.pages(PDF.replace(b"%%EOF", b"trailer <</Encrypt 9 0 R>> %%EOF"))
+    # cut short, without a tree, a stream of unknown length
+    assert pdf.pages(PDF[: PDF.index(b"endstream") - 1].replace(b"/Catalog", b"/Nothing"))[0].text() == "Hello (x) world"
+    assert pdf.pages(b"%PDF-1.4 nothing") == [] and pdf.Document(b"1 0 obj [ << ( \\ ").origin() == ([], 0)
+    put(tmp_path / "k.pdf", KOREAN)
+    put(tmp_path / "x.pdf", PDF.replace(b"/FlateDecode", b"/LZWDecode"))
+    rows = {r.path[-5]: r for r in files.read_layout(files.pdfs(spark, str(tmp_path))).where("page < 2").collect()}
+    assert rows["k"].tables[0].rows == [["가", "나"], ["다닦", "한글"]] and rows["k"].images == 1 and rows["k"].words[0].text == "가"
+    assert rows["x"].status == "error" and "LZWDecode" in rows["x"].error
 
 
 def test_pdf_checks(spark, tmp_path):
@@ -153,3 +196,43 @@ def test_paged_data_source(spark):
     assert spark.read.format("paged_feed").options(**options, limit="2").load().count() == 2
     bad = options | {"combinations": json.dumps([{"bad": 1}]), "fallback": "tests.feed_stub:other"}
     assert [r.id for r in spark.read.format("paged_feed").options(**bad).load().collect()] == ["from the list"]
+
+
+def test_copies_and_fallbacks(spark, tmp_path):
+    from inkspan.sources import copies
+
+    put(tmp_path / "s/a/x.bin", b"x" * 100_000)
+    put(tmp_path / "s/y.bin", b"")
+    put(tmp_path / "t/old.bin", b"1")
+    put(tmp_path / "blocked", b"")
+    plan = spark.createDataFrame([("a/x.bin", "upload"), ("y.bin", "upload"), ("none.bin", "upload"), ("old.bin", "delete"), ("k", "keep")], "key string, action string")
+    rows = {r.key: (r.status, r.bytes, (r.target or "").rsplit("/", 1)[-1]) for r in copies.copied(plan, f"file://{tmp_path}/s", f"file://{tmp_path}/t").collect()}
+    assert rows == {"a/x.bin": ("copied", 100_000, "t"), "y.bin": ("copied", 0, "t"), "none.bin": ("error", 0, ""), "old.bin": ("deleted", 0, "t"), "k": ("kept", 0, "")}
+    assert (tmp_path / "t/a/x.bin").read_bytes() == b"x" * 100_000 and not (tmp_path / "t/old.bin").exists() and not list(tmp_path.glob("t/**/*.tmp"))
+    r = copies.copied(plan.select("key").where("key = 'y.bin'"), f"file://{tmp_path}/s", f"file://{tmp_path}/blocked", f"file://{tmp_path}/u").first()
+    assert r.status == "copied" and r.target.endswith("/u")
+
+
+def test_images(spark, rng=None):
+    import numpy as np
+
+    from inkspan.sources import images as im
+
+    g = np.random.default_rng(3)
+    colour, gray = g.integers(20, 200, (7, 9, 3), dtype=np.uint8), g.integers(0, 256, (6, 5, 1), dtype=np.uint8)
+    for x in (colour, gray):
+        assert (im.decoded(im.encoded(x)) == x).all()
+    median = im.applied(gray, "median")
+    p = np.pad(gray[:, :, 0], 1, mode="edge")
+    assert all(median[i, j, 0] == sorted(p[i : i + 3, j : j + 3].ravel())[4] for i in range(6) for j in range(5))
+    stretched = im.applied(im.applied(colour, "gray"), "contrast")
+    assert stretched.min() == 0 and stretched.max() == 255 and set(np.unique(im.applied(stretched, "threshold"))) <= {0, 255}
+    assert im.shrunk(colour, 4).shape == (3, 3, 3) and im.shrunk(colour, 9) is colour
+    # every PNG filter
+    rows = np.vstack([np.concatenate(([k], r)) for k, r in zip(range(5), g.integers(0, 256, (5, 6), dtype=np.uint8))]).astype(np.uint8)
+    assert len(im._predicted(rows.tobytes(), {"Columns": 6})) == 30
+    df = spark.createDataFrame([("a", im.encoded(colour)), ("b", b"x"), ("c", None)], "path string, content binary")
+    out = {r.path: r for r in im.prepared(df, "binary", 5).collect()}
+    assert (out["a"].width, out["a"].height, out["a"].operations) == (5, 4, ["gray", "contrast", "median", "threshold", "max_side_5"]) and out["b"].status == out["c"].status == "error"
+    with pytest.raises(ValueError):
+        im.prepared(df, "odd")

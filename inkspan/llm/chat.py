@@ -10,7 +10,10 @@ Defined cases: rows with a null conv_id belong to no conversation and are left
 out; a null role is "unknown", a null text empty; rows that repeat turn, role
 and text count once; turns that share a number are ordered by role and text, a
 null number comes first; marks within a text are broken up ("<|" becomes
-"< |"); extra columns are ignored; an empty table gives an empty result.
+"< |"); extra columns are ignored; an empty table gives an empty result. A
+conversation is one row, so its text must fit a task (Spark's limit is 2 GB);
+the references to its prefixes' digests are copied at each turn, which of 10,000
+turns comes to some 0.4 GB of copying and is felt beyond.
 """
 
 from __future__ import annotations

@@ -40,7 +40,7 @@ from inkspan.llm.shared import small_batches
 
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 64 << 20
 #: Repetitions at most; a length that needs more is verified exhaustively.
 MAX_REPETITIONS = 384
 #: Kinds of edits that repetitions are tuned on: where (shares of the item between which all lie), and of which kind (0 substitution, 1 insertion, 2 deletion, None any).
@@ -316,12 +316,13 @@ class Finder:
 
 
 def slices(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items, in parts of at most about SLICE_BYTES of text."""
+    """The items, in parts whose index takes at most about SLICE_BYTES: keys of MAX_REPETITIONS, and for each byte of text up to half a word's hash, pair, place and slots of the pair table."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("text") * 76 + MAX_REPETITIONS * 16)).first()[0] or 0
     n = max(1, -(-size // SLICE_BYTES))
-    for k in range(n):
-        yield [(NO_ID if r[0] is None else r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
+    part = F.pmod(F.xxhash64("text"), F.lit(n))
+    for k in [0] if n == 1 else [r[0] for r in items.select(part.alias("k")).distinct().orderBy("k").collect()]:
+        yield [(NO_ID if r[0] is None else r[0], r[1]) for r in items.where(part == k).orderBy("item_id", "text").collect()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS, target: float = TARGET_RECALL) -> DataFrame:

@@ -18,7 +18,8 @@ them. Two shuffles, of packed arrays.
 
 Defined cases: a text without words has 0 tokens and null losses and score;
 END counts as a token of every other; without target tokens all scores are
-null; a document is in the target if any of its labels has quality 1; repeated
+null; a very long text is a block of its own, held whole by one task in each
+step; a document is in the target if any of its labels has quality 1; repeated
 rows count and are scored each; labels of unknown documents count nothing.
 """
 
@@ -33,9 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
-from inkspan.llm.lm_score import PRIOR
 from inkspan.llm.shared import BROADCAST_BYTES, small_batches
 
+#: Weight of the smoothing priors, in tokens.
+PRIOR = 8.0
 #: Bytes of text of a block, and rows that go to the JVM at once.
 BLOCK_BYTES, ROWS = 8 << 20, 32
 U = np.uint64

@@ -32,7 +32,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.llm import kernel as K
@@ -130,7 +130,30 @@ def repetitions(n: int, edits: int, sampled: int, target: float, most: int = MAX
     return None
 
 
-def build_index(items: list[tuple[int, str]], share: float = MAX_EDITS, target: float = TARGET_RECALL) -> dict:
+_TUNED: dict[tuple[int, int, int, float], int | None] = {}
+
+
+def tune(spark: SparkSession, wanted: list[tuple[int, int, int]], target: float) -> None:
+    """Finds repetitions() of each (n, edits, sampled), a task each, once a session."""
+    new = sorted({x for x in wanted if (*x, target) not in _TUNED})
+    if not new:
+        return
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [tuple(r.values()) for r in b.to_pylist()]
+            yield pa.record_batch([*b.columns, pa.array([repetitions(*r, target) for r in rows], pa.int32())], names=["n", "edits", "sampled", "repetitions"])
+
+    rows = spark.createDataFrame(new, "n int, edits int, sampled int").repartition(len(new)).mapInArrow(run, "n int, edits int, sampled int, repetitions int").collect()
+    _TUNED.update({(r["n"], r["edits"], r["sampled"], target): r["repetitions"] for r in rows})
+
+
+def samples(items: int) -> int:
+    """Coordinates to sample where so many items share a length."""
+    return max(2, int(np.ceil(np.log2(items + 1) / 4)))
+
+
+def build_index(items: list[tuple[int, str]], share: float = MAX_EDITS, target: float = TARGET_RECALL, spark: SparkSession | None = None) -> dict:
     """What workers need to find these (item_id, text): by length the words, edits, walks and sampled keys; and the pair table."""
     words = K.Words()
     by_n: dict[int, list[tuple[int, np.ndarray]]] = {}
@@ -143,14 +166,17 @@ def build_index(items: list[tuple[int, str]], share: float = MAX_EDITS, target:
     bits = max(16, int(np.ceil(np.log2(max(1, pairs.size) * 128))))
     table = np.zeros(1 << min(bits, 27), bool)
     table[(pairs >> U(64 - min(bits, 27))).astype(np.int64)] = True
+    if spark:
+        tune(spark, [(n, edits_allowed(n, share), samples(len(of))) for n, of in by_n.items() if edits_allowed(n, share)], target)
     lengths = []
     for n in sorted(by_n):
         ids = np.array([i for i, _ in by_n[n]], np.int64)
         texts = np.stack([h for _, h in by_n[n]])
         e = edits_allowed(n, share)
-        sampled = max(2, int(np.ceil(np.log2(len(ids) + 1) / 4)))
+        sampled = samples(len(ids))
         walks, padded = [], ended(texts)
-        reps = repetitions(n, e, sampled, target)
+        known = (n, e, sampled, target)
+        reps = _TUNED[known] if known in _TUNED else repetitions(*known)
         for s in range(reps or 0):
             c = coordinates(n, s, sampled)
             keys = key_of(padded, walk(padded, s, 2 * n)[c], n)
@@ -332,7 +358,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDITS
     out = None
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for items in slices(benchmark):
-        shipped = docs.sparkSession.sparkContext.broadcast(build_index(items, share, target))
+        shipped = docs.sparkSession.sparkContext.broadcast(build_index(items, share, target, docs.sparkSession))
 
         def find(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             finder = Finder(shipped.value)
@@ -368,6 +394,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = MAX_EDIT
     small_batches(docs.sparkSession)
     out = docs
     for items in slices(benchmark):
-        holds = _holds(docs.sparkSession.sparkContext.broadcast(build_index(items, share, target)))
+        holds = _holds(docs.sparkSession.sparkContext.broadcast(build_index(items, share, target, docs.sparkSession)))
         out = out.where(~holds(F.col("text").cast("string")))
     return out

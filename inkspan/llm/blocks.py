@@ -1,7 +1,8 @@
 """Links within keyed groups of any size, without ever gathering a group: in blocks of a bounded number of bytes.
 
 1. A group of up to `most` bytes is one block: it is searched breadth first, each
-   pair being looked at unless already joined.
+   pair being looked at unless already joined or, by what alike knows of the
+   block, not alike.
 2. A larger group is cut into blocks by a hash of the id. What a block joins is
    represented by its first member, and these heads meet in further rounds, in
    ever fewer blocks, until they fit one or no longer become fewer.
@@ -25,26 +26,22 @@ from pyspark.sql import functions as F
 from inkspan.llm.components import components
 from inkspan.llm.shared import BROADCAST_BYTES, written
 
-#: Of the payloads of two blocks: which of these (places) are alike to that one. Called as alike(payloads, place, places).
-Alike = Callable[[list, int, np.ndarray], np.ndarray]
+#: Which members of a block are alike to one of them, among those still open (a mask): called once with a block's payloads, it gives near(place, open), which gives places.
+Alike = Callable[[list], Callable[[int, np.ndarray], np.ndarray]]
 LINK = "key long, a long, b long"
 
 
 def spread(n: int, alike: Alike, payloads: list) -> np.ndarray:
     """The place of the first member that each of n is joined to, directly or through others."""
-    label, todo = np.full(n, -1), np.ones(n, bool)
+    near, label, todo, left = alike(payloads), np.full(n, -1), np.ones(n, bool), n
     for s in range(n):
         if label[s] >= 0:
             continue
-        label[s], todo[s], front = s, False, [s]
-        while front:
-            x = front.pop()
-            rest = np.flatnonzero(todo)
-            if not rest.size:
-                break
-            near = rest[alike(payloads, x, rest)]
-            label[near], todo[near] = s, False
-            front.extend(near.tolist())
+        label[s], todo[s], front, left = s, False, [s], left - 1
+        while front and left:
+            found = near(front.pop(), todo)
+            label[found], todo[found], left = s, False, left - found.size
+            front.extend(found.tolist())
     return label
 
 
@@ -86,9 +83,9 @@ def _across(alike: Alike):
             values = flat.field("v")
             for lo, hi in zip(at, at[1:]):
                 payloads, side, up = [values[k].as_buffer() for k in range(lo, hi)], sides[lo:hi], labels[lo:hi].copy()
+                near, second = alike(payloads), side == 1
                 for x in np.flatnonzero(side == 0):
-                    others = np.flatnonzero((side == 1) & (up != up[x]))
-                    for y in others[alike(payloads, int(x), others)] if others.size else ():
+                    for y in near(int(x), second & (up != up[x])):
                         if up[y] != up[x]:
                             rows.append(tuple(sorted((int(ids[lo + x]), int(ids[lo + y])), reverse=True)))
                             up[up == up[y]] = up[x]

@@ -11,8 +11,10 @@
 3. Band keys that hold several representatives link those whose samples agree
    often enough that a pair at the threshold is lost with a chance of ~0.1%.
    Links form coarse components (large-star, small-star rounds).
-4. Within each coarse component weighted Jaccard decides, exactly, and pairs
-   already joined through others are skipped, which changes no component.
+4. Within each coarse component weighted Jaccard decides, exactly. Pairs already
+   joined through others are skipped, and pairs that a prefix filter shows to be
+   below the threshold; neither changes a component. Coarse components grow
+   faster than the corpus, as short texts chain through lines they share.
 Bands and components of any size are compared in blocks of bounded bytes (blocks.py).
 
 A group is a connected component of pairs at THRESHOLD or more; its least
@@ -198,9 +200,14 @@ def least_agreement(samples: int, threshold: float) -> int:
 def agreeing(samples: int, least: int):
     """Which payloads (16 bits of each sample) agree with that at a place in enough samples."""
 
-    def alike(payloads: list, x: int, rest: np.ndarray) -> np.ndarray:
-        sigs = np.frombuffer(b"".join(memoryview(payloads[i]) for i in rest), np.uint16).reshape(rest.size, samples)
-        return np.count_nonzero(sigs == np.frombuffer(payloads[x], np.uint16), axis=1) >= least
+    def alike(payloads: list):
+        sigs = np.frombuffer(b"".join(memoryview(v) for v in payloads), np.uint16).reshape(len(payloads), samples)
+
+        def near(x: int, open_: np.ndarray) -> np.ndarray:
+            rest = np.flatnonzero(open_)
+            return rest[np.count_nonzero(sigs[rest] == sigs[x], axis=1) >= least]
+
+        return near
 
     return alike
 
@@ -223,16 +230,88 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return common / (sa + sb - common) if sa + sb > 0 else 0.0
 
 
+def ragged(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The n places from each of at on, one after the other."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if n.size else 0) + np.repeat(at - (ends - n), n)
+
+
+class Overlaps:
+    """Which vectors of a block are at the threshold with one of them, exactly, without looking at all.
+
+    Each vector's shingles are in order of how many vectors of the block hold them,
+    rarest first. Its leading ones are those without which less than the threshold
+    of its weight is left. Two vectors at the threshold share a leading shingle of
+    both: otherwise all they share lies behind the leading ones of one of them,
+    which is less than the threshold of its weight (prefix filter, Bayardo et al.
+    2007). So a line that thousands of short texts hold makes no pair of them.
+    """
+
+    #: Blocks up to so many members are compared pair by pair.
+    FEW = 8
+
+    def __init__(self, payloads: list, threshold: float) -> None:
+        vectors, self.threshold = [unpacked(v) for v in payloads], threshold
+        self.n = np.array([i.size for i, _ in vectors])
+        self.at = np.cumsum(self.n) - self.n
+        owner = np.repeat(np.arange(self.n.size, dtype=np.int32), self.n)
+        _, place, often = np.unique(np.concatenate([i for i, _ in vectors]), return_inverse=True, return_counts=True)
+        rank = np.empty(often.size, np.int32)
+        rank[np.argsort(often, kind="stable")] = np.arange(often.size, dtype=np.int32)
+        place = rank[place]
+        order = np.lexsort((place, owner))
+        self.ids, self.w = place[order], np.concatenate([w for _, w in vectors])[order]
+        del vectors, place, order
+        self.total = np.bincount(owner, self.w, self.n.size)
+        run = np.append(0.0, np.cumsum(self.w, dtype=np.float64))
+        # a little less than the threshold, so that rounding loses no pair
+        self.least = threshold - 1e-6
+        lead = run[(self.at + self.n)[owner]] - run[:-1] >= self.least * self.total[owner]
+        self.leading = np.bincount(owner[lead], minlength=self.n.size)
+        e = np.flatnonzero(lead)
+        e = e[np.argsort(self.ids[e], kind="stable")]
+        self.holders, self.held = owner[e], np.searchsorted(self.ids[e], np.arange(often.size + 1))
+        self.one = np.zeros(often.size, np.float32)
+
+    def __call__(self, x: int, open_: np.ndarray) -> np.ndarray:
+        """The places among the open ones whose vectors are at the threshold with that at x."""
+        rest = np.flatnonzero(open_)
+        lead = self.ids[self.at[x] : self.at[x] + self.leading[x]]
+        lists = self.held[lead + 1] - self.held[lead]
+        if lists.sum() < self.n[rest].sum():
+            hit = np.zeros(self.n.size, bool)
+            hit[self.holders[ragged(self.held[lead], lists)]] = True
+            rest = np.flatnonzero(hit & open_)
+        low, high = np.minimum(self.total[rest], self.total[x]), np.maximum(self.total[rest], self.total[x])
+        rest = rest[(low > 0) & (low >= self.least * high)]
+        if not rest.size:
+            return rest
+        n, mine = self.n[rest], slice(self.at[x], self.at[x] + self.n[x])
+        e = ragged(self.at[rest], n)
+        self.one[self.ids[mine]] = self.w[mine]
+        common = np.bincount(np.repeat(np.arange(rest.size), n), np.minimum(self.one[self.ids[e]], self.w[e]), rest.size)
+        self.one[self.ids[mine]] = 0
+        return rest[common / (self.total[x] + self.total[rest] - common) >= self.threshold]
+
+
+def overlapping(threshold: float):
+    """Which payloads (packed vectors) are at the threshold with that at a place."""
+
+    def alike(payloads: list):
+        if len(payloads) > Overlaps.FEW:
+            return Overlaps(payloads, threshold)
+        vectors = [unpacked(v) for v in payloads]
+        return lambda x, open_: np.array([y for y in np.flatnonzero(open_) if weighted_jaccard(vectors[x], vectors[y]) >= threshold], np.int64)
+
+    return alike
+
+
 def exact_links(docs: DataFrame, candidates: DataFrame, n: int, df: np.ndarray, shingle: int, threshold: float, most: int = VECTOR_BLOCK) -> DataFrame:
     """Links (a, b), a > b, that join what is at the threshold within each coarse component; candidates: id, component."""
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(n, df))
     small = candidates.count() * 16 <= BROADCAST_BYTES
 
-    def alike(payloads: list, x: int, rest: np.ndarray) -> np.ndarray:
-        one = unpacked(payloads[x])
-        return np.array([weighted_jaccard(one, unpacked(payloads[y])) >= threshold for y in rest])
-
     def payload(some: DataFrame) -> DataFrame:
         def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vectors, table = Vectors(shingle), idf.value
@@ -252,7 +331,7 @@ def exact_links(docs: DataFrame, candidates: DataFrame, n: int, df: np.ndarray,
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     sized = texts.select("id", F.octet_length("text").alias("size")).join(F.broadcast(candidates) if small else candidates, "id").groupBy(F.col("component").alias("key"), "id").agg((F.sum("size") * 2).alias("size"))
     # a document that occurs with several texts has several vectors under its id
-    return links(written(sized, "near-sized"), payload, alike, most, "near-exact")
+    return links(written(sized, "near-sized"), payload, overlapping(threshold), most, "near-exact")
 
 
 def unpacked(v) -> tuple[np.ndarray, np.ndarray]:

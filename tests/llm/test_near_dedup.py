@@ -131,3 +131,40 @@ def test_intermediate_tables_go(spark, make_docs, rng, tmp_path):
     base = prose(rng, 50)
     assert N.near_groups(make_docs([(1, base), (2, base + " x"), (3, prose(rng, 50))])).count() == 1
     assert [x.split("-")[1] for x in set(os.listdir(at)) - before] == ["groups"]
+
+
+def test_short_texts_that_share_a_line_are_not_compared_pair_by_pair(spark, rng, make_docs):
+    """One coarse component of 6,000: comparing all its pairs took minutes."""
+    import time
+
+    line = prose(rng, 8)
+    docs = [(i, line + "\n" + " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))) for i in range(6000)]
+    docs += [(10_000 + i, docs[i][1] + " end") for i in range(40)]
+    frame = make_docs(docs)
+    n, df = N.document_frequencies(frame)
+    began = time.time()
+    found = {(r.a, r.b) for r in N.exact_links(frame, frame.selectExpr("doc_id as id", "cast(0 as bigint) as component"), n, df, N.SHINGLE, N.THRESHOLD).collect()}
+    assert found == {(10_000 + i, i) for i in range(40)}
+    assert time.time() - began < 60
+
+
+def test_overlaps_are_those_of_all_pairs():
+    rng = np.random.default_rng(3)
+    pack = lambda ids, w: ids.astype(np.uint64).tobytes() + w.astype(np.float32).tobytes()
+    blocks, found = [], 0
+    for _ in range(20):
+        block = [pack(np.zeros(0), np.zeros(0))] * 2
+        for _ in range(30):
+            base = rng.choice(300, rng.integers(1, 60), replace=False)
+            for _ in range(rng.integers(1, 6)):
+                ids = np.unique(np.where(rng.random(base.size) < rng.random() * 0.4, rng.integers(0, 300, base.size), base))
+                block.append(pack(ids, rng.random(ids.size) * 0.2 + rng.choice([1, 4], ids.size)))
+        blocks.append(block)
+    for block, share in zip([*blocks, *(b[:5] for b in blocks)], [0.05, 0.5, 1] * 20):
+        near, open_ = N.overlapping(N.THRESHOLD)(block), rng.random(len(block)) < share
+        vectors = [N.unpacked(v) for v in block]
+        for x in range(len(block)):
+            want = [y for y in np.flatnonzero(open_) if N.weighted_jaccard(vectors[x], vectors[y]) >= N.THRESHOLD]
+            assert near(x, open_).tolist() == want
+            found += len(want)
+    assert found > 500

@@ -66,3 +66,18 @@ def test_pipeline_and_queries_are_registered():
     assert set(queries.ORACLE) <= set(names)
     assert [s for s, _ in P.STAGES] == ["language ID", "near duplicates", "decontamination", "mixing", "sharding"]
     assert all((langid, near_dedup, decontam))
+
+
+def test_near_duplicates_among_short_texts_that_chain_through_a_line(spark, rng, make_docs, tmp_path):
+    """The stage's coarse links join these into one component, whose pairs took minutes each by itself."""
+    import time
+
+    line = prose(rng, 30)
+    words = lambda k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+    rows = [(i, line + "\n" + words(7)) for i in range(6000)] + [(10_000 + i, words(20)) for i in range(12_000)]
+    rows += [(30_000 + i, rows[i][1] + " end") for i in range(40)]
+    began = time.time()
+    kept = {r.doc_id for r in P.near_duplicates(spark, make_docs(rows), str(tmp_path)).select("doc_id").collect()}
+    assert kept >= {r[0] for r in rows[:18_000]}
+    assert len(kept) <= 18_000 + 1  # one of 40 may share no band
+    assert time.time() - began < 120

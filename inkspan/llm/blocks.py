@@ -5,7 +5,8 @@
    block, not alike.
 2. A larger group is cut into blocks by a hash of the id. What a block joins is
    represented by its first member, and these heads meet in further rounds, in
-   ever fewer blocks, until they fit one or no longer become fewer.
+   ever fewer blocks, until they fit one or no longer become fewer. Payloads of
+   such groups are made once, as a table, which all rounds and step 3 read.
 3. Members of one group that are still not joined, through whatever groups, are
    compared across blocks, pair of blocks by pair of blocks, each a task's work;
    pairs that are joined by then are skipped. So no link between members of
@@ -110,18 +111,19 @@ def links(members: DataFrame, payload: Callable[[DataFrame], DataFrame], alike:
     """Links (a, b), a > b, which join within each key all that is alike, directly or through others. members: key, id, size (bytes of its payload, about), a table; payload adds the payload (binary) as v to some of them, by id."""
     keys = written(_sized(members, most), f"{name}-keys")
     gather = F.collect_list(F.struct("id", "v")).alias("members")
-    grouped = lambda df, *by: payload(df).groupBy(*by).agg(gather).select("key", "members")
+    grouped = lambda df, *by: df.groupBy(*by).agg(gather).select("key", "members")
     small = _joined(members, keys.where("blocks <= 1"))
-    out = grouped(small.select("key", "id"), "key").mapInArrow(_search(alike, False), LINK).select("a", "b")
+    out = grouped(payload(small.select("key", "id")), "key").mapInArrow(_search(alike, False), LINK).select("a", "b")
     if keys.where("blocks > 1").isEmpty():
         return out.distinct()
     parts = [written(out.distinct(), f"{name}-small")]
     whole = written(_joined(members, keys.where("blocks > 1")).select("key", "id", "size"), f"{name}-hot")
+    loaded = written(payload(whole.select("id").distinct()), f"{name}-payload")
     level, count = whole, whole.count()
     while True:
         blocks = written(_sized(level, most), f"{name}-level")
         cut = _cut(_joined(level, blocks), "blocks")
-        found = written(grouped(cut.select("key", "id", "block"), "key", "block").mapInArrow(_search(alike, True), LINK), f"{name}-found")
+        found = written(grouped(cut.select("key", "id", "block").join(loaded, "id"), "key", "block").mapInArrow(_search(alike, True), LINK), f"{name}-found")
         parts.append(found.where("a <> b").select("a", "b"))
         done = blocks.where("blocks > 1").select("key")
         heads = found.where("a = b").select("key", F.col("a").alias("id")).join(done, "key", "left_semi")
@@ -140,5 +142,5 @@ def links(members: DataFrame, payload: Callable[[DataFrame], DataFrame], alike:
     each = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     sides = F.when(F.col("block") < F.col("other"), F.array(F.lit(0))).when(F.col("block") > F.col("other"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))
     pairs = each.select("key", "id", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.explode(sides).alias("side"))
-    rest = payload(pairs).groupBy("key", "i", "j").agg(F.collect_list(F.struct("id", "label", "side", "v")).alias("members")).select("members").mapInArrow(_across(alike), "a long, b long")
+    rest = pairs.join(loaded, "id").groupBy("key", "i", "j").agg(F.collect_list(F.struct("id", "label", "side", "v")).alias("members")).select("members").mapInArrow(_across(alike), "a long, b long")
     return written(joined.unionByName(rest).distinct(), f"{name}-all")

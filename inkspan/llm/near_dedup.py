@@ -129,7 +129,17 @@ def idf_table(n: int, df: np.ndarray) -> np.ndarray:
 
 
 class Sampler:
-    """Improved consistent weighted samples. Random draws come from a pool by a hash of the shingle for each sample."""
+    """Improved consistent weighted samples. Random draws come from a pool by a hash of the shingle for each sample.
+
+    A sample is the shingle of least a, and ln a lies less than r below ln c - ln w.
+    A first pass takes ln c - r - ln w, by one draw, and leaves the shingles that may
+    come below REACH / sum of weights, as the least a does with a chance of
+    1 - exp(-REACH); a is computed for them alone. Where none of them does, it is
+    computed for all shingles of the document. So the samples are those of all.
+    """
+
+    #: Rounding of ln a in 32 bits is far less than SLACK.
+    REACH, SLACK = 6.0, 0.01
 
     def __init__(self, samples: int, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
@@ -137,24 +147,45 @@ class Sampler:
         self.inv_r = (1 / self.r).astype(np.float32)
         self.beta = rng.random(POOL).astype(np.float32)
         self.ln_c = np.log(rng.gamma(2, 1, POOL)).astype(np.float32)
+        self.low = self.ln_c - self.r
         self.odd = rng.integers(1 << 62, 1 << 63, samples, dtype=np.uint64) | U(1)
 
     def __call__(self, doc_at: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Sample hashes: a row for each document that starts at doc_at, a column for each sample."""
-        ln_w, place = np.log(weight).astype(np.float32), np.arange(ids.size, dtype=np.uint64)
+        ln_w, spread = np.log(weight).astype(np.float32), K.mix(ids)
+        n = np.diff(np.append(doc_at, ids.size))
+        reach = np.log(self.REACH / np.add.reduceat(weight, doc_at, dtype=np.float64)).astype(np.float32)
+        bound = ln_w + np.repeat(reach + np.float32(self.SLACK), n)
         out = np.empty((doc_at.size, self.odd.size), np.uint64)
-        spread = K.mix(ids)
+        h, low = np.empty(ids.size, np.uint64), np.empty(ids.size, np.float32)
         for k, odd in enumerate(self.odd):
-            i = ((spread * odd) >> U(48)).astype(np.int64)
-            r, beta = self.r[i], self.beta[i]
-            t = np.floor(ln_w * self.inv_r[i] + beta)
-            # ln a = ln c - r (t - beta) - r; shifted to be positive, so that its bits sort as it does
-            a = np.maximum(self.ln_c[i] - r * (t - beta + 1) + np.float32(512), np.float32(1e-3))
-            order = (a.view(np.uint32).astype(np.uint64) << U(32)) | place
-            least = (np.minimum.reduceat(order, doc_at) & U(0xFFFFFFFF)).astype(np.int64)
-            out[:, k] = K.mix(spread[least] * U(0x9E3779B97F4A7C15) + t[least].astype(np.int64).astype(np.uint64))
+            np.multiply(spread, odd, out=h)
+            np.right_shift(h, U(48), out=h)
+            draw = h.view(np.int64)
+            self.low.take(draw, out=low, mode="clip")
+            some = np.flatnonzero(low < bound)
+            first = np.searchsorted(some, doc_at)
+            docs = np.flatnonzero(np.diff(np.append(first, some.size)))
+            sure = np.zeros(doc_at.size, bool)
+            if docs.size:
+                sure[docs], out[docs, k] = self._least(first[docs], some, draw, ln_w, spread, reach[docs])
+            if not sure.all():
+                docs = np.flatnonzero(~sure)
+                some = ragged(doc_at[docs], n[docs])
+                _, out[docs, k] = self._least(np.cumsum(n[docs]) - n[docs], some, draw, ln_w, spread, reach[docs])
         return out
 
+    def _least(self, at: np.ndarray, some: np.ndarray, draw: np.ndarray, ln_w: np.ndarray, spread: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each run of shingles that starts at at: whether its least a is within reach, and the hash of the sample."""
+        i = draw[some]
+        r, beta = self.r[i], self.beta[i]
+        t = np.floor(ln_w[some] * self.inv_r[i] + beta)
+        # ln a = ln c - r (t - beta) - r; shifted to be positive, so that its bits sort as it does
+        a = np.maximum(self.ln_c[i] - r * (t - beta + 1) + np.float32(512), np.float32(1e-3))
+        order = (a.view(np.uint32).astype(np.uint64) << U(32)) | np.arange(some.size, dtype=np.uint64)
+        least = (np.minimum.reduceat(order, at) & U(0xFFFFFFFF)).astype(np.int64)
+        return a[least] - np.float32(512) <= reach, K.mix(spread[some[least]] * U(0x9E3779B97F4A7C15) + t[least].astype(np.int64).astype(np.uint64))
+
 
 def signatures(docs: DataFrame, n: int, df: np.ndarray, shingle: int, bands: int, rows: int) -> DataFrame:
     """doc_id, a digest of the weighted set (d1, d2), band keys, and 16 bits of each sample; only documents with a word and a doc_id."""
@@ -324,9 +355,7 @@ def exact_links(docs: DataFrame, candidates: DataFrame, n: int, df: np.ndarray,
                     yield pa.record_batch([*(c.slice(i, j - i) for c in b.columns[1:]), packed], names=names)
 
         names = [*some.columns, "v"]
-        # rows of a comparison across blocks repeat ids, so only the others are sure to be few
-        right = F.broadcast(some) if small and "side" not in some.columns else some
-        return texts.join(right, "id").select("text", *some.columns).mapInArrow(vectorise, ", ".join(f"{c} {t}" for c, t in some.dtypes) + ", v binary")
+        return texts.join(F.broadcast(some) if small else some, "id").select("text", *some.columns).mapInArrow(vectorise, ", ".join(f"{c} {t}" for c, t in some.dtypes) + ", v binary")
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     sized = texts.select("id", F.octet_length("text").alias("size")).join(F.broadcast(candidates) if small else candidates, "id").groupBy(F.col("component").alias("key"), "id").agg((F.sum("size") * 2).alias("size"))

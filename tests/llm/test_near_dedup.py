@@ -75,6 +75,56 @@ def test_samples_agree_as_often_as_weighted_jaccard_says():
     assert abs(float((a == b).mean()) - exact) < 0.05
 
 
+def test_samples_are_those_of_all_shingles_but_few_are_computed():
+    """Half the near-dedup's time went into computing a for each sample of each shingle."""
+    import time
+
+    def plain(s, doc_at, ids, weight):
+        ln_w, spread, columns = np.log(weight).astype(np.float32), N.K.mix(ids), []
+        for odd in s.odd:
+            i = ((spread * odd) >> np.uint64(48)).astype(np.int64)
+            t = np.floor(ln_w * s.inv_r[i] + s.beta[i])
+            a = np.maximum(s.ln_c[i] - s.r[i] * (t - s.beta[i] + 1) + np.float32(512), np.float32(1e-3))
+            order = (a.view(np.uint32).astype(np.uint64) << np.uint64(32)) | np.arange(ids.size, dtype=np.uint64)
+            least = (np.minimum.reduceat(order, doc_at) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            columns.append(N.K.mix(spread[least] * np.uint64(0x9E3779B97F4A7C15) + t[least].astype(np.int64).astype(np.uint64)))
+        return np.stack(columns, axis=1)
+
+    rng, took = np.random.default_rng(4), {plain: [], N.Sampler.__call__: []}
+    n = np.concatenate((np.ones(50, int), rng.lognormal(6, 1, 300).astype(int) + 1))
+    at, ids = np.cumsum(n) - n, rng.integers(0, 1 << 44, n.sum(), dtype=np.uint64)
+    for weight in (rng.integers(1, 4, ids.size) * (rng.random(ids.size) * 4 + 0.02), np.full(ids.size, 0.016), rng.random(ids.size) * 1e4):
+        got = {}
+        for how in took:
+            began = time.thread_time()
+            got[how] = how(N.Sampler(48), at, ids, weight)
+            took[how].append(time.thread_time() - began)
+        assert (got[plain] == got[N.Sampler.__call__]).all()
+    assert sum(took[N.Sampler.__call__]) < 0.8 * sum(took[plain])
+
+
+def test_payloads_of_large_groups_are_made_once(spark):
+    """Each round, and the comparison across blocks, read all texts again; across blocks they were shuffled too."""
+    from inkspan.llm.blocks import links
+    from inkspan.llm.components import components
+
+    asked = []
+    values = spark.range(60).selectExpr("id", "cast(cast(id % 7 as string) as binary) as v")
+
+    def payload(some):
+        asked.append(some.columns)
+        return some.join(values, "id")
+
+    def alike(payloads):
+        digits = np.array([int(bytes(v)) for v in payloads])
+        return lambda x, open_: np.flatnonzero(open_ & (np.abs(digits - digits[x]) % 5 == 0))
+
+    members = spark.range(60).selectExpr("cast(0 as bigint) as key", "id", "100 as size").unionByName(spark.range(4).selectExpr("cast(1 as bigint) as key", "id", "100 as size"))
+    got = {r.id: r.component for r in components(links(members, payload, alike, 1000, "once")).collect()}
+    assert got == {i: {5: 0, 6: 1}.get(i % 7, i % 7) for i in range(60)}
+    assert len(asked) == 2
+
+
 def test_a_large_group_leaves_one(spark, rng, make_docs):
     base = prose(rng, 60)
     docs = [(i, spoiled(rng, base, 0.03)) for i in range(200)] + [(1000 + i, prose(rng, 40)) for i in range(2000)]

@@ -76,7 +76,10 @@ def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""WITH u AS (SELECT user_id, sum(value) AS seconds FROM events GROUP BY 1), s AS (SELECT user_id, round_even(seconds, 0)::BIGINT AS s FROM u)
     SELECT user_id, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || 'm' WHEN s >= 60 THEN (s // 60) || 'm' || lpad((s % 60)::VARCHAR, 2, '0') || 's' ELSE s || 's' END AS duration FROM s""")
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.sum("value").alias("seconds")).select("user_id", T.duration(F.col("seconds")).alias("duration"))
+    """Seconds of each user, added in the order of events: where a sum ends at a half, the order of additions says how it rounds."""
+    so_far = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    running = table(spark, sf_dir, "events").select("user_id", "event_id", F.sum("value").over(so_far).alias("seconds"))
+    return running.groupBy("user_id").agg(F.max_by("seconds", "event_id").alias("seconds")).select("user_id", T.duration(F.col("seconds")).alias("duration"))
 
 
 @query(r"""WITH e AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'HTTP 50' || (event_id % 5) || ' from host' WHEN 'click' THEN 'Too Many Requests' WHEN 'view' THEN 'TransferEncodingError: x' ELSE 'unknown' END AS error FROM events)

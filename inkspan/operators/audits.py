@@ -43,7 +43,9 @@ def reference_check(refs: DataFrame, files: DataFrame) -> DataFrame:
     f = files.select(F.col("path").alias("__p"), F.col("size").alias("__s"), F.col("digest").alias("__d"))
     g = f.select(F.col("__p").alias("__p2"), F.col("__s").alias("__s2"), F.col("__d").alias("__d2"))
     moved = refs.withColumn("__m", migrated_path(F.col("path")))
-    joined = moved.join(f, F.col("path") == F.col("__p"), "left").join(g, F.col("__m") == F.col("__p2"), "left")
+    # most paths have not moved: by a null key all these rows would meet in one task, so they go by their path, which then matches nothing
+    legacy = F.coalesce(F.col("__m"), F.col("path")) == F.col("__p2")
+    joined = moved.join(f, F.col("path") == F.col("__p"), "left").join(g, legacy & F.col("__m").isNotNull(), "left")
     size, digest = F.coalesce("__s", "__s2"), F.coalesce("__d", "__d2")
     return joined.select(
         *refs.columns, F.coalesce("__p", "__p2").alias("actual_path"), size.alias("actual_size"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,11 @@ from pyspark.sql.types import StringType
 from inkspan.functions.text import nz
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is evaluated once, however often f names it. (No Python function may be within f.)"""
+    return F.transform(F.array(c), f)[0]
+
+
 def overlay(defaults: Column, current: Column) -> Column:
     """A map of defaults overlaid by current, without blank values."""
     kept = F.map_filter(defaults, lambda k, _: ~F.coalesce(F.map_contains_key(current, k), F.lit(False)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkspan.functions import text as T
 from inkspan.functions.dates import date_parts
-from inkspan.functions.nested import without_blanks
+from inkspan.functions.nested import once, without_blanks
 from inkspan.functions.numbers import admin_code
 
 VERSION = "item.v1"
@@ -183,11 +183,15 @@ ANSWER = "results struct<common struct<errorCode string, errorMessage string, to
 
 def address_answer(payload: Column) -> Column:
     """Struct of an address service's answer: ok, error, counts with defaults, the first record, whether it is historic, all records."""
-    a = F.from_json(payload, ANSWER)["results"]
-    records = F.transform(F.coalesce(a["juso"], F.array().cast("array<string>") if False else F.from_json(F.lit("[]"), ANSWER.split("juso ", 1)[1][:-1])), address_record)
-    number = lambda n, d: F.coalesce(a["common"][n].try_cast("int"), F.lit(d))
-    first = F.get(records, F.lit(0))
-    return F.struct((a["common"]["errorCode"] == "0").alias("ok"), a["common"]["errorMessage"].alias("error"), number("totalCount", 0).alias("total"), number("currentPage", 1).alias("page"), number("countPerPage", 10).alias("per_page"), first.alias("first"), F.coalesce(first["history"] == "1", F.lit(False)).alias("historic"), records.alias("records"))
+    none = F.from_json(F.lit("[]"), ANSWER.split("juso ", 1)[1][:-1])
+
+    def answer(a: Column, records: Column) -> Column:
+        number = lambda n, d: F.coalesce(a["common"][n].try_cast("int"), F.lit(d))
+        first = F.get(records, F.lit(0))
+        return F.struct((a["common"]["errorCode"] == "0").alias("ok"), a["common"]["errorMessage"].alias("error"), number("totalCount", 0).alias("total"), number("currentPage", 1).alias("page"), number("countPerPage", 10).alias("per_page"), first.alias("first"), F.coalesce(first["history"] == "1", F.lit(False)).alias("historic"), records.alias("records"))
+
+    # the text is parsed and the records made once, however many fields are asked for
+    return once(F.from_json(payload, ANSWER)["results"], lambda a: once(F.transform(F.coalesce(a["juso"], none), address_record), lambda r: answer(a, r)))
 
 
 def place_record(c: Column) -> Column:

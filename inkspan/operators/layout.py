@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkspan.functions.nested import once
 from inkspan.functions.numbers import overlap, ratio
 from inkspan.functions.text import form_score, readability, squash
 
@@ -85,17 +86,21 @@ def valid_table(t: Column) -> Column:
 def distinct_tables(tables: Column) -> Column:
     """The valid tables of a page in order, without repeats: one that overlaps an earlier or has its first rows joins it, the better one in its place with the strategies of both."""
     quality = lambda t: F.coalesce(t["text_chars"], F.lit(0)) + F.coalesce(t["row_count"], F.lit(0)) * 10 + F.coalesce(t["column_count"], F.lit(0)) * 5
-    head = lambda t: F.to_json(F.slice(t["raw_rows"], 1, 3))
-    same = lambda a, b: (overlap(a["bbox"], b["bbox"]) >= SAME) | F.coalesce((F.size(a["raw_rows"]) > 0) & (head(a) == head(b)), F.lit(False))
+    # the first rows as text, and what place a new table takes, are made once, not for each pair
+    with_head = lambda t: F.struct(t.alias("t"), F.when(F.size(t["raw_rows"]) > 0, F.to_json(F.slice(t["raw_rows"], 1, 3))).alias("head"))
+    same = lambda a, b: F.coalesce(a["head"] == b["head"], F.lit(False)) | (overlap(a["t"]["bbox"], b["t"]["bbox"]) >= SAME)
+
+    def joined(old: Column, new: Column) -> Column:
+        a, b = old["t"], new["t"]
+        names = F.array_sort(F.array_distinct(F.filter(F.concat(F.array(a["strategy"], b["strategy"]), F.coalesce(a["alternate"], F.array().cast("array<string>")), F.coalesce(b["alternate"], F.array().cast("array<string>"))), lambda s: s.isNotNull() & (s != ""))))
+        return once(F.when(quality(b) > quality(a), new).otherwise(old), lambda w: F.struct(w["t"].withField("alternate", names).alias("t"), w["head"].alias("head")))
 
     def add(chosen: Column, t: Column) -> Column:
-        at = F.array_position(F.transform(chosen, lambda c: same(c, t)), True).cast("int")
-        old = F.get(chosen, at - 1)
-        names = F.array_sort(F.array_distinct(F.filter(F.concat(F.array(old["strategy"], t["strategy"]), F.coalesce(old["alternate"], F.array().cast("array<string>")), F.coalesce(t["alternate"], F.array().cast("array<string>"))), lambda s: s.isNotNull() & (s != ""))))
-        winner = F.when(quality(t) > quality(old), t).otherwise(old).withField("alternate", names)
-        return F.when(at == 0, F.array_append(chosen, t)).otherwise(F.transform(chosen, lambda c, i: F.when(i == at - 1, winner).otherwise(c)))
+        place = F.array_position(F.transform(chosen, lambda c: same(c, t)), True).cast("int")
+        return once(place, lambda at: F.when(at == 0, F.array_append(chosen, t)).otherwise(F.transform(chosen, lambda c, i: F.when(i == at - 1, joined(c, t)).otherwise(c))))
 
-    return F.aggregate(F.filter(tables, valid_table), F.array().cast(f"array<{TABLE}>"), add)
+    kept = F.aggregate(F.transform(F.filter(tables, valid_table), with_head), F.array().cast(f"array<struct<t:{TABLE},head:string>>"), add)
+    return F.transform(kept, lambda x: x["t"])
 
 
 def renumbered(tables: Column, page_index: Column) -> Column:

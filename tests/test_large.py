@@ -45,3 +45,7 @@ def planned(df) -> str:
 
 def test_answers_are_parsed_once(spark, sf_dir):
     assert planned(registry.queries()["address_answers"](spark, sf_dir)).count("from_json") <= 2  # the other one is a literal
+
+
+def test_tables_places_are_found_once(spark, sf_dir):
+    assert planned(registry.queries()["distinct_tables"](spark, sf_dir)).count("array_position") == 1

@@ -94,8 +94,9 @@ def _loose(s: pd.Series) -> pd.Series:
 
 def json_object(c: Column) -> Column:
     """JSON text of the object in a loose answer; text that is JSON already stays in the JVM."""
-    plain = F.try_parse_json(c)
-    strict = F.when(F.schema_of_variant(plain).startswith("OBJECT"), F.to_json(plain))
+    # only what begins as an object can be one; a failed parse costs an exception
+    begins = F.startswith(F.ltrim(c, F.lit(" \t\r\n")), F.lit("{"))
+    strict = once(F.try_parse_json(F.when(begins, c)), lambda plain: F.when(F.schema_of_variant(plain).startswith("OBJECT"), F.to_json(plain)))
     return F.coalesce(strict, _loose(F.when(strict.isNull(), c)))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkspan.functions import text as T
-from inkspan.functions.nested import json_object
+from inkspan.functions.nested import json_object, once
 from inkspan.functions.numbers import unit
 from inkspan.operators.queues import ordinal
 
@@ -80,13 +80,17 @@ def pair_similarity(methods: DataFrame, key: str) -> DataFrame:
 
 def verdict(raw: Column) -> Column:
     """A peer's raw answer as a struct: status, verdict, corrected_text, confidence, issues."""
-    j = json_object(F.coalesce(raw, F.lit("")))
-    get = lambda p: F.get_json_object(j, p)
-    v = F.lower(T.strip(F.coalesce(get("$.verdict"), F.lit(""))))
-    v = F.when(v.isin("accept", "revise", "reject"), v).otherwise("")
-    issues = get("$.issues")
-    listed = F.when(F.startswith(F.ltrim(issues), F.lit("[")), F.from_json(issues, "array<string>")).when(T.nz(issues).isNotNull(), F.array(issues)).otherwise(F.array().cast("array<string>"))
-    return F.struct(F.when(v != "", "ok").otherwise("unparsed").alias("status"), v.alias("verdict"), T.tidy(F.coalesce(get("$.corrected_text"), F.lit(""))).alias("corrected_text"), unit(get("$.confidence")).alias("confidence"), listed.alias("issues"))
+
+    def parts(said: Column, corrected: Column, sure: Column, issues: Column) -> Column:
+        v = F.when(said.isin("accept", "revise", "reject"), said).otherwise("")
+        listed = F.when(F.startswith(F.ltrim(issues), F.lit("[")), F.from_json(issues, "array<string>")).when(T.nz(issues).isNotNull(), F.array(issues)).otherwise(F.array().cast("array<string>"))
+        return F.struct(F.when(v != "", "ok").otherwise("unparsed").alias("status"), v.alias("verdict"), T.tidy(F.coalesce(corrected, F.lit(""))).alias("corrected_text"), unit(sure).alias("confidence"), listed.alias("issues"))
+
+    def read(j: Column) -> Column:
+        get = lambda p: F.get_json_object(j, p)
+        return F.struct(F.lower(T.strip(F.coalesce(get("$.verdict"), F.lit("")))).alias("v"), get("$.corrected_text").alias("c"), get("$.confidence").alias("s"), get("$.issues").alias("i"))
+
+    return once(once(json_object(F.coalesce(raw, F.lit(""))), read), lambda x: parts(x["v"], x["c"], x["s"], x["i"]))
 
 
 def conclusive(status: Column, said: Column, corrected: Column, confidence: Column) -> Column:

@@ -52,6 +52,10 @@ def test_tables_places_are_found_once(spark, sf_dir):
     assert planned(registry.queries()["distinct_tables"](spark, sf_dir)).count("array_position") == 1
 
 
+def test_verdicts_try_objects_only(spark, sf_dir):
+    assert planned(registry.queries()["verdicts"](spark, sf_dir)).count("get_json_object") <= 4
+
+
 def test_items_look_up_ranked_mentions(spark, sf_dir):
     plan = registry.queries()["geocode_place_year_summary"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "distinct" not in plan and "log10" not in plan.lower()

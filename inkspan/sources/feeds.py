@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html as entities
 import json
 import re
 from collections.abc import Callable, Iterator
@@ -94,10 +95,39 @@ class _Rows(HTMLParser):
                 held.append(data)
 
 
+#: Tags of pages that need no parser: text between them and attributes in double quotes, nothing else.
+_PLAIN_TAGS = "a b body br div em html i li p span strong table tbody td tfoot th thead tr ul".split()
+_TOKEN = re.compile(rf"""<(/?)({"|".join(_PLAIN_TAGS)})((?:\s+[a-z]+="[^"<>&]*(?:&(?:amp|quot|lt|gt|\#39);[^"<>&]*)*")*)>|([^<&]+|[^<]+(?=<))""")
+_ATTRIBUTE = re.compile(r'''([a-z]+)="([^"]*)"''')
+
+
+def _fed(html: str) -> _Rows:
+    """The rows of a page: of a plain one from its tokens, of any other from the parser, alike."""
+    p, at = _Rows(), 0
+    for m in _TOKEN.finditer(html):
+        if m.start() != at:
+            break
+        at = m.end()
+        end, tag, attributes, data = m.groups()
+        if data is not None:
+            if p.cell is not None or p.link is not None or p.count is not None:
+                p.handle_data(entities.unescape(data))
+        elif end:
+            if attributes:
+                at = -1
+                break
+            p.handle_endtag(tag)
+        else:
+            p.handle_starttag(tag, [(k, entities.unescape(v) if "&" in v else v) for k, v in _ATTRIBUTE.findall(attributes)] if attributes else [])
+    if at != len(html):
+        p = _Rows()
+        p.feed(html)
+    return p
+
+
 def list_rows(html: str | None) -> tuple[int, int, list[dict]]:
     """(total, pages, rows with ROW_FIELDS) of a list page."""
-    p = _Rows()
-    p.feed(html or "")
+    p = _fed(html or "")
     number = re.search(r"([\d,]+)\s*건", p.total)
     total = int(number[1].replace(",", "")) if number else 0
     numbers = [int(x) for x in re.findall(r"fnGoPage\('(\d+)'\)", html or "")]

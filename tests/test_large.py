@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkspan import registry
 from inkspan.operators import audits, gazetteer
 from inkspan.plans import geocode
+from inkspan.sources import feeds
 
 
 def test_durations_add_in_order(spark, tmp_path):
@@ -65,3 +66,21 @@ def test_items_look_up_ranked_mentions(spark, sf_dir):
     assert [got[k, "redwidget", "title"] for k in ("2", "3")] == ["Red Widget County", "Red Widget City"]
     assert [got[k, "bolt", "title"] for k in ("1", "4", "5")] == ["Bolt Town", "Bolt Town", "Bolt"]
     assert {k for k, _, _ in got} == {i for i, t, a, _ in items if t or a}
+
+
+def test_plain_list_pages_need_no_parser(monkeypatch):
+    fed, rng = [], random.Random(3)
+    parser = feeds._Rows.feed
+    monkeypatch.setattr(feeds._Rows, "feed", lambda self, text: (fed.append(text), parser(self, text))[1])
+    call = lambda i: f"fnDetail('T{i}','A &quot;b&amp;amp; {i}','2024.1.2','b', 'c','d','l','/v?contentId=C{i}&amp;tocId=T{i}','N','')"
+    row = lambda i, x: f'<tr><td>1</td><td><a href="#" onclick="{call(i)}">{x}</a></td><td>a &lt; b</td><td>l</td><td>d</td></tr>'
+    page = lambda x: '<div id="countArea">3건</div><table id="tableArea"><tbody>' + "".join(row(i, x) for i in range(3)) + "</tbody></table>"
+    total, _, rows = feeds.list_rows(page("x"))
+    assert total == 3 and [r["id"] for r in rows] == ["T0", "T1", "T2"] and not fed
+    bits = ["x", " y\n", "&amp;", "&", "&nbsp", "<", ">", "<b>", "</b>", "<br/>", "<!-- <td> -->", "</td>", "<td>", "<a onclick='fnDetail(1)'>", "<TD>", "<script>", "</script>", "<tr>", "<td class=x>"]
+    for _ in range(400):
+        html = page("".join(rng.choices(bits, k=rng.randrange(4)))) + "".join(rng.choices(bits, k=rng.randrange(3)))
+        slow = feeds._Rows()
+        parser(slow, html)
+        fast = feeds._fed(html)
+        assert (fast.rows, fast.total) == (slow.rows, slow.total), html

@@ -12,18 +12,10 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from inkspan.session import small_batches  # noqa: F401  used through here
+
 #: Bytes that a broadcast side may take; beyond it the join is left to a shuffle.
 BROADCAST_BYTES = 32 << 20
-#: Bytes of an Arrow batch that goes to a Python worker. By rows alone a batch of long texts takes tens of MB, several times over on its way.
-BATCH_BYTES = 4 << 20
-_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Limits the session's Arrow batches to BATCH_BYTES, unless a smaller limit in bytes is set."""
-    now = spark.conf.get(_BATCH).lower().rstrip("b")
-    if not now.isdigit() or int(now) > BATCH_BYTES:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from inkspan.session import small_batches
 from inkspan.sources import pdf
 
+#: Bytes of files whose pages a worker holds before it hands them on.
+HELD_BYTES = 1 << 20
 HEAD, TAIL, TAIL_BYTES, LEAST_BYTES = b"%PDF-", b"%%EOF", 4096, 100
 
 
@@ -60,11 +63,11 @@ READERS: dict[str, Reader] = {"streams": _text}
 
 def read_pages(files: DataFrame, method: str = "streams", readers: dict[str, Reader] | None = None) -> DataFrame:
     """(path, method, status, error, page, text) of each page that a reader finds; a file that fails, or a reader that isn't there, gives one error row."""
-    reader = (readers or READERS).get(method)
+    reader, columns = (readers or READERS).get(method), ["path", "method", "status", "error", "page", "text"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
+            rows, held = [], 0
             for path, content in zip(b["path"], b["content"]):
                 try:
                     if reader is None:
@@ -73,8 +76,13 @@ def read_pages(files: DataFrame, method: str = "streams", readers: dict[str, Rea
                     rows += [(path, method, "ok", None, i, t) for i, t in enumerate(pages, 1)] or [(path, method, "ok", None, 0, "")]
                 except Exception as e:  # a file's fault is its row's status
                     rows.append((path, method, "error", f"{type(e).__name__}: {e}", 0, ""))
-            yield pd.DataFrame(rows, columns=["path", "method", "status", "error", "page", "text"])
+                held += len(content or b"")
+                if held >= HELD_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=columns)
 
+    small_batches(files.sparkSession)
     return files.select("path", "content").mapInPandas(run, "path string, method string, status string, error string, page int, text string")
 
 
@@ -104,6 +112,7 @@ def read_layout(files: DataFrame) -> DataFrame:
                     rows.append((path, "error", f"{type(e).__name__}: {e}", 0, [], [], 0))
             yield pd.DataFrame(rows, columns=["path", "status", "error", "page", "words", "tables", "images"])
 
+    small_batches(files.sparkSession)
     return files.select("path", "content").mapInPandas(run, LAYOUT)
 
 

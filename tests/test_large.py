@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkspan import registry
 from inkspan.operators import audits, gazetteer
 from inkspan.plans import geocode
-from inkspan.sources import feeds
+from inkspan.sources import feeds, files
 
 
 def test_durations_add_in_order(spark, tmp_path):
@@ -84,3 +84,15 @@ def test_plain_list_pages_need_no_parser(monkeypatch):
         parser(slow, html)
         fast = feeds._fed(html)
         assert (fast.rows, fast.total) == (slow.rows, slow.total), html
+
+
+def test_pages_of_files_pass_in_small_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        df = spark.range(5).select(F.col("id").cast("string").alias("path"), F.encode(F.repeat(F.lit("x"), 400_000), "UTF-8").alias("content")).coalesce(1)
+        found = files.read_pages(df, "size", {"size": lambda b: [str(len(b))]})
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+        assert sorted((r["path"], r["text"]) for r in found.collect()) == [(str(i), "400000") for i in range(5)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
